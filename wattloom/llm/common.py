@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A semi-join side of at most this many ids is sent to every task; a larger
-#: one is joined by a shuffle of both sides.
+#: A join side of at most this many values is sent to every task; a larger one
+#: is joined by a shuffle of both sides.
 BROADCAST_IDS = 1_000_000
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -35,14 +35,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(side: DataFrame, weight: F.Column | None = None) -> DataFrame:
+    """``side`` (a written table), marked for broadcast only if a count shows it to be small."""
+    n = side.agg(F.sum(F.lit(1) if weight is None else weight + 4)).first()[0] or 0
+    return F.broadcast(side) if n <= BROADCAST_IDS else side
+
+
 def keep_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` is among ``ids`` (a written table of one column, no repeats).
+    """Rows whose ``key`` is among ``ids`` (a written table of one column, no repeats)."""
+    return rows.join(few(ids), key, "left_semi")
 
-    The ids go to every task only when a count shows them to be few; otherwise
-    Spark shuffles both sides.
-    """
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, key, "left_semi")
+
+def join_few(rows: DataFrame, side: DataFrame, key: str, weight: F.Column) -> DataFrame:
+    """Left join with a written table that has a row per ``key``; weight: values in a row."""
+    return rows.join(few(side, weight), key, "left")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join
+from . import jaccard_join, language_id, line_dedup, source_mixing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_ngram_jaccard_join": jaccard_join.query,
+        "op4_language_id": language_id.query,
+        "op8_source_mixing": source_mixing.query,
+        "op10_line_dedup": line_dedup.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_source_mixing": source_mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
