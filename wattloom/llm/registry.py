@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, language_id, line_dedup, source_mixing
+from . import jaccard_join, language_id, line_dedup, quality_classifier, quality_rules, source_mixing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": quality_rules.query,
         "op2_ngram_jaccard_join": jaccard_join.query,
+        "op3_toxicity": toxicity.query,
         "op4_language_id": language_id.query,
         "op8_source_mixing": source_mixing.query,
+        "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
     }
 
