@@ -15,11 +15,13 @@ Plan, all of it joins and grouped aggregates on Spark:
    order have ``l`` in common. A document with fewer than ``l`` shared shingles
    there links with nothing; the others are candidates.
 3. Shingles of candidates get their frequency among candidates, and
-   the global order: rarest first, by power-of-two frequency class, then hash.
-   Shingles of one candidate only cannot overlap; they count in the size only.
-4. Pairs that share a shingle in their prefixes under that order are found in
-   two rounds. First every document of a shingle meets one hub, the document
-   with the largest shared part; so groups of near copies join with
+   the global order: rarest first, by power-of-two frequency class, then hash;
+   cuts between classes and inside them are the fragments. Shingles of one
+   candidate only cannot overlap; they come first and count in the size only.
+4. Similar pairs meet at their first common shingle, with enough of both sets
+   left behind it in the order (prefix and positional filter); ``left`` counts it.
+   They are found in two rounds. First every document of a shingle meets one hub,
+   the document with the largest part left; so groups of near copies join with
    a number of pairs linear in the group. Then all pairs whose documents are
    still in different components meet. Pairs inside one component need no look,
    since only components are asked for; no cap is set anywhere.
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
@@ -130,28 +132,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ids = written(ids.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
 
     rows = keep_ids(texts, ids, "doc_id").mapInArrow(all_shingles, "doc long, n long, shingle long")
-    rows = written(rows.distinct(), "shingles")
     order = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    order = order.select("shingle", F.floor(F.log2("f")).cast("int").alias("class"))
-    ordered = rows.join(order, "shingle").groupBy("doc", "n")
-    ordered = ordered.agg(F.sort_array(F.collect_list(F.struct("class", "shingle"))).alias("part"))
-    ordered = written(ordered.where(f"size(part) * 100 >= n * {percent}"), "ordered")
-
-    piece = F.col("x.class") * 2 + (F.col("x.shingle") >= 0).cast("int")
-    segments = ordered.select("doc", F.explode("part").alias("x")).groupBy("doc", piece.alias("fragment"))
-    segments = written(segments.agg(F.collect_list("x.shingle").alias("part")), "segments")
-    ahead = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("part"))
-    heads = ordered.withColumn("ahead", ahead.cast("int")).where("ahead > 0")
-    heads = heads.select("doc", "n", F.size("part").alias("m"), F.explode(F.slice("part", 1, F.col("ahead"))).alias("x"))
-    heads = written(heads.select("doc", "n", "m", F.col("x.shingle").alias("shingle")), "heads")
-
-    possible = f"least(m, hm) >= {_overlap_needed('n', 'hn', percent)}"
+    half = (F.col("shingle") >= 0).cast("int")
+    order = order.select("shingle", (F.floor(F.log2("f")).cast("int") * 2 + half).alias("fragment"))
+    segments = rows.join(order, "shingle").groupBy("doc", "n", "fragment")
+    segments = written(segments.agg(F.sort_array(F.collect_set("shingle")).alias("part")), "segments")
+
+    of_doc = Window.partitionBy("doc", "n")
+    placed = segments.withColumn("m", F.sum(F.size("part")).over(of_doc))
+    placed = placed.withColumn(
+        "before", F.coalesce(F.sum(F.size("part")).over(of_doc.orderBy("fragment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    placed = placed.where(f"m * 100 >= n * {percent}").select("doc", "n", "m", "before", F.posexplode("part").alias("at", "shingle"))
+    heads = placed.select("doc", "n", "shingle", (F.col("m") - F.col("before") - F.col("at")).alias("left"))
+    heads = written(heads.where(f"left >= ceil(n * {percent} / 100)"), "heads")
+
+    possible = f"least(left, hleft) >= {_overlap_needed('n', 'hn', percent)}"
     hubs = heads.groupBy("shingle").agg(
-        F.max_by("doc", F.col("m") / F.col("n")).alias("hub"), F.count("*").alias("c")
+        F.max_by(F.struct(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("left").alias("hleft")), F.col("left") / F.col("n")).alias("h"),
+        F.count("*").alias("c"),
     )
-    size_of = ordered.select(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.size("part").alias("hm"))
-    star = heads.join(hubs.where("c > 1").drop("c"), "shingle").select("doc", "n", "m", "hub").where("doc <> hub").distinct()
-    star = star.join(size_of, "hub").where(possible)
+    star = heads.join(hubs.where("c > 1").select("shingle", "h.*"), "shingle").where("doc <> hub").where(possible)
     links = written(verify(_pairs(star), segments, percent), "links")
 
     joined = written(
@@ -162,9 +163,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     mixed = joined.groupBy("shingle").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
     rest = joined.join(mixed.where("x <> y").select("shingle"), "shingle", "left_semi")
-    other = rest.toDF(*[{"doc": "hub", "n": "hn", "m": "hm", "component_id": "hc"}.get(c, c) for c in rest.columns])
+    other = rest.toDF(*[{"doc": "hub", "n": "hn", "left": "hleft", "component_id": "hc"}.get(c, c) for c in rest.columns])
     meet = (F.col("l.shingle") == F.col("r.shingle")) & F.expr(f"doc < hub AND component_id <> hc AND {possible}")
-    cross = rest.alias("l").join(other.alias("r"), meet).select("doc", "n", "m", "hub", "hn", "hm").distinct()
+    cross = rest.alias("l").join(other.alias("r"), meet)
     links = links.unionByName(verify(_pairs(cross), segments, percent))
 
     found = components(links)
