@@ -2,9 +2,9 @@
 
 A raw-content dictionary per language is cut from a bounded sample of labelled
 texts. A text belongs to the language whose dictionary codes it in
-the fewest bytes. Short texts differ by few bytes, so the text is also coded in
-lower case and behind the dictionary's own separator, and sizes are added;
-still equal sizes go to the language more frequent in the sample, then by name.
+the fewest bytes, lower-cased and behind a line end as in the dictionary; equal
+sizes go to the language with more sample texts, then by name. Level 6 matters:
+lower levels index a dictionary too sparsely to tell short texts apart.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; a margin under ``MARGIN`` of the best size, or under two bytes, sets
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Labelled texts of a language that make its dictionary, and bytes taken from each.
-SAMPLE_TEXTS = 300
-PIECE_BYTES = 600
-LEVEL = 3
+SAMPLE_TEXTS = 150
+PIECE_BYTES = 400
+LEVEL = 6
 MARGIN = 0.02
 
 _letter = regex.compile(r"\p{L}")
