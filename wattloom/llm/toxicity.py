@@ -8,18 +8,20 @@ subsequences in place. Words are lower-cased, lose everything but letters
 (``i-d.i_o t`` reads as one word, as do single letters in a row) and get marks
 for their start and end. The kernel is normalised by length.
 
-Labels are on documents; sentences inherit them. A toxic sentence holds at
-least one bad word, a clean one none, so the training set is built over words:
-those far more frequent in toxic sentences against words of clean ones. Landmarks
+Labels are on texts, whose sentences inherit them. A toxic text holds at least
+one bad word, a clean one none, so the training set is built over words: those
+whose counts by labelled text speak for toxic (a log-likelihood ratio) against
+words of clean texts, common ones and others. Landmarks
 are drawn from both; ``K(landmarks)^-1/2`` maps a word to a short vector and a
 squared-hinge SVM is fitted on those by Newton steps. Its decision is a sum
 of kernels with landmarks, hence linear in the subsequences of a word, so it is
 folded into one hashed table of subsequence weights: scoring needs no landmark
-at all and gives the same number. A sentence scores as its worst word, a text as
-its worst sentence, through a logistic curve fitted on labelled texts.
+at all and gives the same number. A text is scored by its worst words: a
+logistic regression, fitted on labelled texts, of the largest and third largest
+word margin and the log counts of words above 0 and of all words.
 
-Defined results: texts without words have the score of the curve at the lowest
-margin; without both classes among the labels every score is the base rate (0 if
+Defined results: texts without words are scored at the lowest margin and no
+words; without both classes among the labels every score is the base rate (0 if
 there are none); rows that repeat a doc_id are scored row by row; other columns
 are ignored.
 """
@@ -31,17 +33,19 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import table
+from .common import table, written
 
-#: Labelled texts to learn from, words in the training set, landmarks: a class.
-SAMPLE_TEXTS = 4_000
-TRAIN_WORDS = 3_000
+#: Labelled texts to learn from; words of each class in the training set (twice as
+#: many clean ones) and landmarks of each; log-likelihood ratio that marks a bad word.
+SAMPLE_TEXTS = 8_000
+TRAIN_WORDS = 2_000
 LANDMARKS = 96
+EVIDENCE = 30.0
+FEATURES = 4
 DECAY = 0.6
 SPAN = 6
 TABLE_BITS = 20
@@ -51,7 +55,6 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _STEPS = [(a, b, c) for a, b, c in combinations(range(1, SPAN), 3)]
 _AT = [np.random.RandomState(5 + k).randint(0, 2**63, 256).astype(np.uint64) for k in range(4)]
-_sentence = regex.compile(r"[.!?|\n]+")
 
 
 def letter_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,15 +103,27 @@ def word_margins(stream: np.ndarray, word: np.ndarray, n: int, weights: np.ndarr
     return np.where(norm > 0, bias + total / np.sqrt(np.maximum(norm, 1e-9)), LOWEST)
 
 
-def text_margins(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
-    """The margin of the worst word of each text; every distinct word of the batch is scored once."""
+def text_features(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+    """The largest and the third largest word margin, the log counts of words above 0 and of all words.
+
+    Every distinct word of the batch is scored once.
+    """
     data, off = tx.text_bytes(texts)
     letters, at, doc = letter_words(data, off)
-    out = np.full(len(off) - 1, LOWEST)
+    n = len(off) - 1
+    out = np.full((n, FEATURES), LOWEST)
+    out[:, 2:] = 0
     if len(doc):
         _, one, which = np.unique(tx.span_hash(tx.prefix_hash(letters), at[:-1], at[1:]), return_index=True, return_inverse=True)
         stream, word = marked(letters, at[one], at[one + 1])
-        np.maximum.at(out, doc, word_margins(stream, word, len(one), weights, bias)[which])
+        margin = word_margins(stream, word, len(one), weights, bias)[which]
+        order = np.lexsort((-margin, doc))
+        first = np.searchsorted(doc[order], np.arange(n + 1))
+        for column, place in ((0, 0), (1, 2)):
+            have = first[1:] - first[:-1] > place
+            out[have, column] = np.maximum(margin[order[first[:-1][have] + place]], LOWEST)
+        out[:, 2] = np.log1p(np.bincount(doc, margin > 0, n))
+        out[:, 3] = np.log1p(np.bincount(doc, minlength=n))
     return out
 
 
@@ -161,61 +176,70 @@ def fit_words(bad: list[str], good: list[str], landmarks: int = LANDMARKS) -> tu
     return weights, float(coef[-1])
 
 
-def fit_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, classes weighted alike."""
-    cost = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    x = np.stack([margin, np.ones_like(margin)], 1)
-    coef = np.zeros(2)
-    for _ in range(50):
+def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coefficients of a logistic regression on text features, the last one constant."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    coef = np.zeros(x.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ coef, -30, 30)))
-        step = np.linalg.solve((x * (cost * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2), x.T @ (cost * (y - p)) - 1e-4 * coef)
-        coef = coef + np.clip(step, -3, 3)
-    return float(coef[0]), float(coef[1])
+        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(coef))
+        coef = coef + np.clip(np.linalg.solve(hess, x.T @ (y - p) - 1e-2 * coef), -2, 2)
+    return coef
+
+
+def curve(coef: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ coef[:-1] + coef[-1], -30, 30)))
 
 
-def _sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, toxic, n``: in how many texts of the batch each word is, by label."""
     for batch in tx.chunks(batches):
-        out: dict[tuple[str, int], int] = {}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for sentence in _sentence.split(text or ""):
-                data = np.frombuffer(sentence.encode(), np.uint8)
-                letters, at, _ = letter_words(data, np.array([0, len(data)]))
-                raw = letters.tobytes()
-                for w in {raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True) if b - a > 2}:
-                    key = (w.decode(errors="ignore"), toxic)
-                    out[key] = out.get(key, 0) + 1
-        yield pa.RecordBatch.from_pylist(
-            [{"word": w, "toxic": t, "n": n} for (w, t), n in out.items()],
-            schema=pa.schema([("word", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())]),
-        )
+        data, off = tx.text_bytes(batch.column(0))
+        letters, at, doc = letter_words(data, off)
+        key = tx.span_hash(tx.prefix_hash(letters), at[:-1], at[1:])
+        _, one = np.unique(tx.mix(key + doc.astype(np.uint64)), return_index=True)
+        one = one[at[one + 1] - at[one] > 2]
+        raw, label = letters.tobytes(), np.asarray(batch.column(1))
+        words = pa.array([raw[a:b].decode(errors="ignore") for a, b in zip(at[one], at[one + 1], strict=True)], pa.string())
+        rows = pa.table({"word": words, "toxic": pa.array(label[doc[one]], pa.int32())})
+        rows = rows.group_by(["word", "toxic"]).aggregate([([], "count_all")]).rename_columns(["word", "toxic", "n"])
+        yield from rows.to_batches()
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS):
-    """``(table, bias, slope, offset)`` from at most ``sample`` texts of each class, or the base rate."""
+    """``(table, bias, coefficients)`` from at most ``sample`` labelled texts, chosen by hash, or the base rate."""
     usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
-    order = (F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.where("toxic = 1").orderBy(*order).limit(sample).unionByName(usable.where("toxic = 0").orderBy(*order).limit(sample))
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id")
-    words = texts.mapInArrow(_sentence_words, "word string, toxic int, n long").groupBy("word")
-    words = words.agg(F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("c"))
-    far = F.col("t") / (F.col("c") + 0.25)
-    bad = [r.word for r in words.where(far >= 8).where("t >= 3").orderBy(F.desc("t"), "word").limit(TRAIN_WORDS).collect()]
-    good = words.where(far < 1).where("c >= 1")
-    often = good.orderBy(F.desc("c"), "word").limit(TRAIN_WORDS // 2)
-    other = good.orderBy(F.xxhash64("word"), "word").limit(TRAIN_WORDS // 2)
-    good = sorted({r.word for r in often.unionByName(other).collect()}, key=lambda w: hash_word(w))
+    n, n_bad = chosen.agg(F.count("*"), F.sum("toxic")).first()
+    if not n_bad or n_bad == n:
+        return float((n_bad or 0) / max(n, 1))
+    words = texts.mapInArrow(_text_words, "word string, toxic int, n long").groupBy("word")
+    words = words.agg(F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 1, 0, n)")).alias("c"))
+    words = written(words, "toxic-words")
+    share = F.lit(n_bad / n)
+    both = F.col("t") + F.col("c")
+    llr = 2 * (F.col("t") * F.log(F.col("t") / (both * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - share)))).otherwise(0.0))
+    far = (F.col("t") > 0) & (F.col("t") > 4 * share * both) & (llr >= EVIDENCE) if n_bad * 4 < n else (F.col("t") > 0) & (F.col("c") * 4 < F.col("t")) & (llr >= EVIDENCE)
+    bad = [r.word for r in words.where(far).orderBy(F.desc("t"), "word").limit(TRAIN_WORDS).collect()]
+    good = words.where("c >= 1").where(F.col("t") <= 2 * share * both)
+    often = good.orderBy(F.desc("c"), "word").limit(TRAIN_WORDS)
+    other = good.orderBy(F.xxhash64("word"), "word").limit(TRAIN_WORDS)
+    good = sorted({r.word for r in often.unionByName(other).collect()}, key=hash_word)
     if not bad or not good:
-        n = chosen.agg(F.avg("toxic")).first()[0]
-        return float(n or 0.0)
+        return float(n_bad / n)
     weights, bias = fit_words(bad, good)
     spread = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(text_margins(batch.column(0), *spread.value)), batch.column(1), batch.column(2)], names=["m", "toxic", "doc_id"])
+            x = text_features(batch.column(0), *spread.value)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T.copy()), batch.column(1), batch.column(2)], names=[*names, "toxic", "doc_id"])
 
-    got = texts.mapInArrow(run, "m double, toxic int, doc_id long").toPandas().sort_values(["doc_id", "m"])
-    return weights, bias, *fit_curve(got["m"].to_numpy(float), got["toxic"].to_numpy(float))
+    names = [f"x{k}" for k in range(FEATURES)]
+    schema = ", ".join([f"{c} double" for c in names] + ["toxic int", "doc_id long"])
+    got = texts.mapInArrow(run, schema).toPandas().sort_values(["doc_id", *names])
+    return weights, bias, fit_curve(got[names].to_numpy(float), got["toxic"].to_numpy(float))
 
 
 def hash_word(word: str) -> int:
@@ -232,9 +256,8 @@ def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if isinstance(model.value, float):
                 p = np.full(batch.num_rows, model.value)
             else:
-                weights, bias, slope, offset = model.value
-                m = text_margins(batch.column(1), weights, bias)
-                p = 1 / (1 + np.exp(-np.clip(slope * m + offset, -30, 30)))
+                weights, bias, coef = model.value
+                p = curve(coef, text_features(batch.column(1), weights, bias))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
