@@ -13,12 +13,13 @@ one bad word, a clean one none, so the training set is built over words: those
 whose counts by labelled text speak for toxic (a log-likelihood ratio) against
 words of clean texts, common ones and others. Landmarks
 are drawn from both; ``K(landmarks)^-1/2`` maps a word to a short vector and a
-squared-hinge SVM is fitted on those by Newton steps. Its decision is a sum
+squared-hinge SVM is fitted on those by Newton steps, a bad word's margin in
+proportion to its log odds, altered spellings of the surest words included. Its decision is a sum
 of kernels with landmarks, hence linear in the subsequences of a word, so it is
 folded into one hashed table of subsequence weights: scoring needs no landmark
 at all and gives the same number. A text is scored by its worst words: a
-logistic regression, fitted on labelled texts, of the largest and third largest
-word margin and the log counts of words above 0 and of all words.
+logistic regression, fitted on labelled texts, of the largest word margin and
+the log counts of words above several margins and of all words.
 
 Defined results: texts without words are scored at the lowest margin and no
 words; without both classes among the labels every score is the base rate (0 if
@@ -45,11 +46,12 @@ SAMPLE_TEXTS = 8_000
 TRAIN_WORDS = 2_000
 LANDMARKS = 96
 EVIDENCE = 30.0
-FEATURES = 4
 DECAY = 0.6
 SPAN = 6
 TABLE_BITS = 20
-LOWEST = -2.0
+LOWEST, HIGHEST = -2.0, 3.0
+STEPS = (-0.3, 0.3, 0.9, 1.5, 2.2)
+FEATURES = 2 + len(STEPS)
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -104,33 +106,50 @@ def word_margins(stream: np.ndarray, word: np.ndarray, n: int, weights: np.ndarr
 
 
 def text_features(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
-    """The largest and the third largest word margin, the log counts of words above 0 and of all words.
+    """The largest word margin, log counts of words above each of STEPS and of all words.
 
     Every distinct word of the batch is scored once.
     """
     data, off = tx.text_bytes(texts)
     letters, at, doc = letter_words(data, off)
     n = len(off) - 1
-    out = np.full((n, FEATURES), LOWEST)
-    out[:, 2:] = 0
+    out = np.zeros((n, FEATURES))
+    out[:, 0] = LOWEST
     if len(doc):
         _, one, which = np.unique(tx.span_hash(tx.prefix_hash(letters), at[:-1], at[1:]), return_index=True, return_inverse=True)
         stream, word = marked(letters, at[one], at[one + 1])
-        margin = word_margins(stream, word, len(one), weights, bias)[which]
-        order = np.lexsort((-margin, doc))
-        first = np.searchsorted(doc[order], np.arange(n + 1))
-        for column, place in ((0, 0), (1, 2)):
-            have = first[1:] - first[:-1] > place
-            out[have, column] = np.maximum(margin[order[first[:-1][have] + place]], LOWEST)
-        out[:, 2] = np.log1p(np.bincount(doc, margin > 0, n))
-        out[:, 3] = np.log1p(np.bincount(doc, minlength=n))
+        margin = np.clip(word_margins(stream, word, len(one), weights, bias)[which], LOWEST, HIGHEST)
+        np.maximum.at(out[:, 0], doc, margin)
+        for k, step in enumerate(STEPS):
+            out[:, 1 + k] = np.log1p(np.bincount(doc, margin > step, n))
+        out[:, -1] = np.log1p(np.bincount(doc, minlength=n))
     return out
 
 
-def fit_words(bad: list[str], good: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """The folded table of subsequence weights and the bias, from bad words and good words."""
+def altered(word: str) -> list[str]:
+    """The word with one inner letter doubled, followed by another letter or, from five letters, missing."""
+    out = []
+    for k in range(1, len(word) - 1):
+        other = "aeiouxzn"[(len(word) + 3 * k) % 8]
+        out += [word[:k] + word[k] + word[k:], word[: k + 1] + other + word[k + 1 :]]
+        if len(word) > 4:
+            out.append(word[:k] + word[k + 1 :])
+    return out
+
+
+def fit_words(bad: list[str], odds: list[float], good: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
+    """The folded table of subsequence weights and the bias, from bad words with their log odds and good words.
+
+    A bad word has to reach a margin in proportion to its log odds; altered
+    spellings of the surest ones are learnt along.
+    """
+    need = np.clip(np.array(odds) / 3.5, 0.7, 2.0)
+    clean = set(good)
+    more = [(v, t) for w, t in zip(bad, need, strict=True) if t >= 1.7 for v in altered(w) if v not in clean]
+    bad, need = bad + [v for v, _ in more], np.append(need, [0.9 * t for _, t in more])
     names = bad + good
     y = np.append(np.ones(len(bad)), -np.ones(len(good)))
+    need = np.append(need, np.ones(len(good)))
     raw = [w.encode() for w in names]
     ends = np.cumsum([len(w) for w in raw])
     stream, word = marked(np.frombuffer(b"".join(raw), np.uint8), np.append(0, ends[:-1]), ends)
@@ -165,9 +184,9 @@ def fit_words(bad: list[str], good: list[str], landmarks: int = LANDMARKS) -> tu
     ridge = np.eye(len(coef)) * 0.5
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (z @ coef) < 1
+        active = y * (z @ coef) < need
         za, ca = z[active], cost[active]
-        new = np.linalg.solve(ridge + (za * ca[:, None]).T @ za, (za * ca[:, None]).T @ y[active])
+        new = np.linalg.solve(ridge + (za * ca[:, None]).T @ za, (za * ca[:, None]).T @ (y * need)[active])
         if np.abs(new - coef).max() < 1e-9:
             break
         coef = new
@@ -221,14 +240,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS):
     both = F.col("t") + F.col("c")
     llr = 2 * (F.col("t") * F.log(F.col("t") / (both * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - share)))).otherwise(0.0))
     far = (F.col("t") > 0) & (F.col("t") > 4 * share * both) & (llr >= EVIDENCE) if n_bad * 4 < n else (F.col("t") > 0) & (F.col("c") * 4 < F.col("t")) & (llr >= EVIDENCE)
-    bad = [r.word for r in words.where(far).orderBy(F.desc("t"), "word").limit(TRAIN_WORDS).collect()]
+    found = words.where(far).orderBy(F.desc("t"), "word").limit(TRAIN_WORDS).collect()
+    bad, odds = [r.word for r in found], [log_odds(r.t, r.c, n_bad, n - n_bad) for r in found]
     good = words.where("c >= 1").where(F.col("t") <= 2 * share * both)
     often = good.orderBy(F.desc("c"), "word").limit(TRAIN_WORDS)
     other = good.orderBy(F.xxhash64("word"), "word").limit(TRAIN_WORDS)
     good = sorted({r.word for r in often.unionByName(other).collect()}, key=hash_word)
     if not bad or not good:
         return float(n_bad / n)
-    weights, bias = fit_words(bad, good)
+    weights, bias = fit_words(bad, odds, good)
     spread = docs.sparkSession.sparkContext.broadcast((weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +262,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS):
     return weights, bias, fit_curve(got[names].to_numpy(float), got["toxic"].to_numpy(float))
 
 
+def log_odds(t: int, c: int, n_bad: int, n_good: int) -> float:
+    return float(np.log((t + 0.5) / (c + 0.5) * (n_good / n_bad)))
+
+
 def hash_word(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
     return int(tx.span_hash(tx.prefix_hash(data), np.array([0]), np.array([len(data)]))[0])
