@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, language_id, line_dedup, quality_classifier, quality_rules, source_mixing, toxicity
+from . import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    license_scan,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    source_mixing,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +25,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_jaccard_join": jaccard_join.query,
         "op3_toxicity": toxicity.query,
         "op4_language_id": language_id.query,
+        "op5_benchmark_decontamination": decontamination.query,
+        "op6_license_scan": license_scan.query,
         "op8_source_mixing": source_mixing.query,
         "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
@@ -22,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_source_mixing": source_mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    return {"op6_license_scan": license_scan.oracle(), "op8_source_mixing": source_mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
