@@ -15,6 +15,7 @@ from . import (
     quality_classifier,
     quality_rules,
     source_mixing,
+    suffix_dedup,
     toxicity,
 )
 
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": language_id.query,
         "op5_benchmark_decontamination": decontamination.query,
         "op6_license_scan": license_scan.query,
+        "op7_suffix_dedup": suffix_dedup.query,
         "op8_source_mixing": source_mixing.query,
         "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
