@@ -1,0 +1 @@
+"""Sensor and energy analytics on PySpark: rollups, baselines, detectors, forecasts, keyed stores."""
