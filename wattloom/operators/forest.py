@@ -90,36 +90,35 @@ def average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, 2 * (np.log(safe) + 0.5772156649015329) - 2 * safe / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
-def score(z: DataFrame, trees: DataFrame, subsample: int = SUBSAMPLE) -> DataFrame:
+def score(z: DataFrame, trees: DataFrame, group_rows: int = 100_000) -> DataFrame:
     """``model, bucket, score``: minus 2 to the power of minus the relative mean path; higher is more normal.
 
-    A model's nodes are packed in one row (at most trees x 2 x subsample nodes) and joined by model; models without trees score nothing.
+    Rows meet the trees of their model in groups of about ``group_rows``; the trees (a fixed
+    number of small ones) go to each group of the model. Models without trees score nothing.
     """
-    packed = trees.groupBy("model").agg(F.sort_array(F.collect_list(F.struct("tree", "node", "feature", "cut", "size", "depth"))).alias("nodes"))
-    rows = z.join(F.broadcast(packed), "model")
-
-    def run(batches):
-        built: dict[str, dict] = {}
-        for pdf in batches:
-            for model, part in pdf.groupby("model", sort=False):
-                if model not in built:
-                    built = {model: _tables(part["nodes"].iloc[0])}
-                path = _paths(built[model], np.stack(part["z"].to_numpy()))
-                size = built[model]["size"][:, 0]
-                value = -np.power(2.0, -path.mean(0) / max(float(average_path(size.mean())), 1e-9))
-                yield pd.DataFrame({"model": part["model"], "bucket": part["bucket"], "score": value})
-
-    return rows.mapInPandas(run, "model string, bucket timestamp, score double")
-
-
-def _tables(nodes) -> dict[str, np.ndarray]:
-    tree, node = np.array([n["tree"] for n in nodes]), np.array([n["node"] for n in nodes])
-    index = {t: k for k, t in enumerate(np.unique(tree))}
-    at = np.array([index[t] for t in tree]), node
-    shape = len(index), int(node.max()) + 1
+    parts = z.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
+    rows = z.join(F.broadcast(parts), "model").withColumn("part", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")))
+    nodes = trees.join(F.broadcast(parts), "model").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return rows.groupBy("model", "part").cogroup(nodes.groupBy("model", "part")).applyInPandas(_score, "model string, bucket timestamp, score double")
+
+
+def _score(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+    if not len(rows) or not len(nodes):
+        return pd.DataFrame({"model": [], "bucket": pd.Series([], dtype="datetime64[ns]"), "score": []})
+    t = _tables(nodes)
+    path = _paths(t, np.stack(rows["z"].to_numpy()))
+    norm = max(float(average_path(t["size"][:, 0].mean())), 1e-9)
+    return pd.DataFrame({"model": rows["model"], "bucket": rows["bucket"], "score": -np.power(2.0, -path.mean(0) / norm)})
+
+
+def _tables(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
+    """Node columns as arrays of trees x nodes."""
+    names, row = np.unique(nodes["tree"].to_numpy(), return_inverse=True)
+    at = row, nodes["node"].to_numpy()
+    shape = len(names), int(nodes["node"].max()) + 1
     out = {"feature": np.full(shape, -1), "cut": np.zeros(shape), "size": np.zeros(shape), "depth": np.zeros(shape)}
     for c in out:
-        out[c][at] = [n[c] for n in nodes]
+        out[c][at] = nodes[c].to_numpy()
     return out
 
 

@@ -1,4 +1,4 @@
-"""All sensor queries by name, each with its SQL counterpart."""
+"""All sensor queries by name, each with its SQL counterpart where SQL can express it."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import model_queries, profile_queries, table_queries
+
+MODULES = [profile_queries, table_queries, model_queries]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {q.__name__: q for m in MODULES for q in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.SQL.items() if v}
