@@ -60,7 +60,7 @@ def text(anomalies: DataFrame, until: Column, n: int = TOP, exclude_clears: bool
             F.format_string("**Total this week: %d** (%s %d vs prior week, %d)", "total_now", "arrow", F.abs("delta"), "total_prev"),
         ).alias("l")
     )
-    shown = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.format_string("%.2f", c))
+    shown = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.format_string("%.2f", F.round(F.round(c, 7), 2)))
     uc = by_use_case(anomalies, until, exclude_clears)
     worst = top(anomalies, until, n, exclude_clears)
     order = Window.orderBy(severity_rank(F.col("severity")).desc(), F.abs("score").desc_nulls_last(), "time", "source", "metric", "detector")

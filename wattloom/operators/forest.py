@@ -97,9 +97,10 @@ def score(z: DataFrame, trees: DataFrame, group_rows: int = 100_000) -> DataFram
     number of small ones) go to each group of the model. Models without trees score nothing.
     """
     parts = z.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
-    rows = z.join(F.broadcast(parts), "model").withColumn("part", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")))
-    nodes = trees.join(F.broadcast(parts), "model").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    return rows.groupBy("model", "part").cogroup(nodes.groupBy("model", "part")).applyInPandas(_score, "model string, bucket timestamp, score double")
+    rows = z.join(F.broadcast(parts), "model").select("model", "bucket", "z", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")).alias("part"))
+    copies = parts.select(F.col("model").alias("_model"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_part"))
+    nodes = trees.join(F.broadcast(copies), F.col("model") == F.col("_model"))
+    return rows.groupBy("model", "part").cogroup(nodes.groupBy("_model", "_part")).applyInPandas(_score, "model string, bucket timestamp, score double")
 
 
 def _score(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:

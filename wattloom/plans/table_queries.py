@@ -222,7 +222,7 @@ c AS (SELECT count(*) AS a, (SELECT count(*) FROM history WHERE {_PRIOR}) AS b F
 sev AS (SELECT string_agg('| ' || s || ' | ' || n || ' |', chr(10) ORDER BY k) AS t FROM (
   SELECT s, k, (SELECT count(*) FROM w WHERE severity = s) AS n FROM (VALUES ('critical', 1), ('warning', 2), ('info', 3)) v(s, k))),
 ucs AS (SELECT coalesce(string_agg('| ' || uc || ' | ' || n || ' |', chr(10) ORDER BY n DESC, uc), '') AS t FROM (SELECT uc, count(*) AS n FROM w GROUP BY 1)),
-top AS (SELECT coalesce(string_agg('| ' || strftime(time, '%Y-%m-%d %H:%M') || ' | ' || severity || ' | ' || uc || ' | ' || metric || ' | ' || printf('%.2f', score) || ' | ' || printf('%.2f', actual) || ' | ' || printf('%.2f', expected) || ' |', chr(10)
+top AS (SELECT coalesce(string_agg('| ' || strftime(time, '%Y-%m-%d %H:%M') || ' | ' || severity || ' | ' || uc || ' | ' || metric || ' | ' || printf('%.2f', round(score, 7) + sign(score) * 1e-9) || ' | ' || printf('%.2f', round(actual, 7) + sign(actual) * 1e-9) || ' | ' || printf('%.2f', round(expected, 7) + sign(expected) * 1e-9) || ' |', chr(10)
     ORDER BY {_RANK} DESC, abs(score) DESC, time, metric), '') AS t FROM (SELECT * FROM w ORDER BY {_RANK} DESC, abs(score) DESC, time, metric LIMIT 10))
 SELECT concat_ws(chr(10), '# Weekly Anomaly Digest — 2024-01-31', '', 'Window: 2024-01-24 → 2024-01-31 (7 days)', '',
   '**Total this week: ' || c.a || '** (' || CASE WHEN c.a > c.b THEN '↑' WHEN c.a < c.b THEN '↓' ELSE '→' END || ' ' || abs(c.a - c.b) || ' vs prior week, ' || c.b || ')',
