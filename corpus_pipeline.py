@@ -22,7 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later occurrences of repeated line windows; those left without a word go."""
-    out = line_dedup.dedup_lines(docs).where(~F.col("emptied")).select(*docs.columns)
+    out = line_dedup.dedup_lines(docs)
+    out = out.where(~F.col(out.columns[-1])).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from .common import join_few, table, written
 
 WINDOW = 3
+MADE = ["n_lines", "n_removed", "emptied"]
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -54,8 +55,7 @@ def later_windows(found: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch.schema.names
-        text, starts = (batch.column(names.index(c)).to_pylist() for c in ("text", "_starts"))
+        text, starts = batch.column(1).to_pylist(), batch.column(3).to_pylist()
         total, gone, emptied = [], [], []
         for i, (t, at) in enumerate(zip(text, starts, strict=True)):
             ls = (t or "").split("\n")
@@ -65,21 +65,23 @@ def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatc
             if hit:
                 text[i] = "\n".join(x for k, x in enumerate(ls) if k not in hit)
             emptied.append(bool(hit) and not text[i].strip())
-        rest = [(c, batch.column(k)) for k, c in enumerate(names) if c not in ("text", "_starts")]
-        made = {"text": pa.array(text, pa.string()), "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "emptied": pa.array(emptied, pa.bool_())}
-        yield pa.RecordBatch.from_arrays([c for _, c in rest] + list(made.values()), names=[n for n, _ in rest] + list(made))
+        cols = [batch.column(0), pa.array(text, pa.string()), batch.column(2), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(emptied, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text", "_rest", *MADE])
 
 
 def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` with shortened texts, plus ``n_lines, n_removed, emptied``."""
+    """``docs`` with shortened texts, plus the columns ``MADE`` (an underscore in front where ``docs`` has the name)."""
     found = written(windows(docs.select("doc_id", "text"), size), "line-windows")
     starts = later_windows(found).groupBy("doc_id").agg(F.collect_set("pos").alias("_starts"))
     starts = written(starts, "line-starts")
-    joined = join_few(docs, starts, "doc_id", F.size("_starts"))
-    fields = [f for f in docs.schema.fields if f.name != "text"]
-    made = [T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("emptied", T.BooleanType())]
-    out = joined.mapInArrow(lambda it: _cut(it, size), T.StructType(fields + made))
-    return out.select(*docs.columns, "n_lines", "n_removed", "emptied")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
+    joined = join_few(packed, starts, "doc_id", F.size("_starts")).select("doc_id", "text", "_rest", "_starts")
+    kinds = [("n_lines", T.LongType()), ("n_removed", T.LongType()), ("emptied", T.BooleanType())]
+    schema = T.StructType([*packed.schema.fields, *(T.StructField(c, k) for c, k in kinds)])
+    out = joined.mapInArrow(lambda it: _cut(it, size), schema)
+    columns = [F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
+    return out.select(*columns, *(F.col(c).alias("_" + c if c in docs.columns else c) for c in MADE))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

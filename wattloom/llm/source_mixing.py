@@ -92,9 +92,11 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself: every row of ``docs`` once per copy, with ``copy`` counting from 1."""
-    drawn = draw(docs.withColumn("size", word_count("text")), weights, cap, seed).where("copies > 0")
-    return drawn.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    """The mix itself: every row of ``docs`` once per copy, with ``copy`` (``_copy`` if taken) counting from 1."""
+    packed = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct(*docs.columns).alias("_row"))
+    drawn = draw(packed, weights, cap, seed).where("copies > 0")
+    name = "_copy" if "copy" in docs.columns else "copy"
+    return drawn.select("_row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
