@@ -290,7 +290,7 @@ def covered_ranges(docs: DataFrame) -> DataFrame:
     total = mixed.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     wanted = written(mixed.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "digest", "n", "cut", "start", "size")).alias("wanted")), "wanted")
-    with_text = join_few(texts, wanted, "doc_id", F.size("wanted") * 6).where("wanted IS NOT NULL")
+    with_text = texts.join(wanted.hint("shuffle_merge"), "doc_id")
     schema = "owner long, digest long, n long, cut long, bytes binary"
     pieces = with_text.select("text", "wanted").mapInArrow(_fetch, schema).dropDuplicates(["owner", "digest"])
     salt = F.pmod(F.xxhash64("digest"), F.col("cut"))
