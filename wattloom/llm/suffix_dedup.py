@@ -202,37 +202,48 @@ def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[new], starts[np.append(new[1:], True)] + length
 
 
-_COVER = "owner long, digest long, from_byte long, to_byte long, f1 array<long>, f2 array<long>, shard long"
-_COVER_ARROW = pa.schema([("owner", pa.int64()), ("digest", pa.int64()), ("from_byte", pa.int64()), ("to_byte", pa.int64()), ("f1", pa.list_(pa.int64())), ("f2", pa.list_(pa.int64())), ("shard", pa.int64())])
+_COVER = "owner long, digest long, from_byte long, to_byte long, ats array<long>, f1 array<long>, f2 array<long>, shard long"
+_COVER_ARROW = pa.schema([("owner", pa.int64()), ("digest", pa.int64()), ("from_byte", pa.int64()), ("to_byte", pa.int64()), ("ats", pa.list_(pa.int64())), ("f1", pa.list_(pa.int64())), ("f2", pa.list_(pa.int64())), ("shard", pa.int64())])
 
 
 def _shard(rows: pa.Table) -> pa.Table:
-    """Covered ranges inside each segment of a shard; for cut owners also fingerprints of all windows."""
+    """Covered ranges inside each segment of a shard; for cut owners also fingerprints of its distinct windows."""
     raw = rows.column("bytes").to_pylist()
     owner, digest, cut, n = (rows.column(c).to_numpy() for c in ("owner", "digest", "cut", "n"))
     size = np.array([len(b) for b in raw])
     stop = np.cumsum(size)
     text = np.frombuffer(b"".join(raw), np.uint8)
     hit = repeated_windows(text, np.repeat(stop, size))
-    sums = tx.prefix_hash(text)
     out = []
     for k in range(len(raw)):
         a = stop[k] - size[k]
-        if n[k] > 1:
-            covered = (np.array([0]), np.array([size[k]]))
-        else:
-            covered = _runs(np.flatnonzero(hit[a : stop[k] - LENGTH + 1]), LENGTH)
-        for x, y in zip(*covered, strict=True):
-            out.append((owner[k], digest[k], x, y, None, None, None))
-        if cut[k] > 1:
-            at = np.arange(a, stop[k] - LENGTH + 1)
-            half = tx.span_hash(sums, at, at + LENGTH // 2), tx.span_hash(sums, at + LENGTH // 2, at + LENGTH)
-            f1, f2 = tx.mix(half[0] + np.uint64(3) * half[1]), tx.mix(half[0] * np.uint64(5) ^ half[1])
-            out.append((owner[k], digest[k], None, None, f1.view(np.int64), f2.view(np.int64), rows.column("shard")[0].as_py()))
-    columns = list(zip(*out, strict=True)) or [[]] * 7
+        covered = (np.array([0]), size[k : k + 1]) if n[k] > 1 else _runs(np.flatnonzero(hit[a : stop[k] - LENGTH + 1]), LENGTH)
+        out += [(owner[k], digest[k], x, y, None, None, None, None) for x, y in zip(*covered, strict=True)]
+    across = np.flatnonzero(cut > 1)
+    if len(across):
+        segment = np.repeat(across, size[across] - LENGTH + 1)
+        start = (stop - size)[segment]
+        at = np.arange(len(segment)) - np.searchsorted(segment, segment)
+        sums, p = tx.prefix_hash(text), start + at
+        half = tx.span_hash(sums, p, p + LENGTH // 2), tx.span_hash(sums, p + LENGTH // 2, p + LENGTH)
+        f1, f2 = tx.mix(half[0] + np.uint64(3) * half[1]), tx.mix(half[0] * np.uint64(5) ^ half[1])
+        _, one = np.unique(f1, return_index=True)  # windows that repeat in here are covered; one of each tells the others
+        send = ~hit[p]
+        send[one] = True
+        shard = rows.column("shard")[0].as_py()
+        for k in across:
+            mine = _slice(segment, send, k)
+            if len(mine):
+                out.append((owner[k], digest[k], None, None, at[mine], f1[mine].view(np.int64), f2[mine].view(np.int64), shard))
+    columns = list(zip(*out, strict=True)) or [[]] * 8
     return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _COVER_ARROW, strict=True)], schema=_COVER_ARROW)
 
 
+def _slice(segment: np.ndarray, send: np.ndarray, k: int) -> np.ndarray:
+    a, b = np.searchsorted(segment, [k, k + 1])
+    return a + np.flatnonzero(send[a:b])
+
+
 def _merge(rows: pa.Table) -> pa.Table:
     """Of one fingerprint range: windows found in the sorted list of another shard by binary search."""
     f1, f2, shard = (rows.column(c).to_numpy() for c in ("f1", "f2", "shard"))
@@ -300,8 +311,8 @@ def covered_ranges(docs: DataFrame) -> DataFrame:
 
     prints = cover.where("f1 IS NOT NULL")
     spread = max(1, -(-(prints.agg(F.sum(F.size("f1"))).first()[0] or 0) // (1 << 17)))
-    each = prints.select("owner", "digest", "shard", F.posexplode(F.arrays_zip("f1", "f2")).alias("at", "f"))
-    each = each.select("owner", "digest", "shard", F.col("at").cast("long").alias("at"), "f.f1", "f.f2")
+    each = prints.select("owner", "digest", "shard", F.explode(F.arrays_zip("ats", "f1", "f2")).alias("f"))
+    each = each.select("owner", "digest", "shard", F.col("f.ats").alias("at"), "f.f1", "f.f2")
     across = each.groupBy(F.pmod("f1", F.lit(spread)).alias("part")).applyInArrow(_merge, "owner long, digest long, at long")
     across = across.select("owner", "digest", F.col("at").alias("from_byte"), (F.col("at") + LENGTH).alias("to_byte"))
 
