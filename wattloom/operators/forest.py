@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
@@ -143,6 +143,19 @@ def thresholds(scores: DataFrame, trained_at: Column) -> DataFrame:
     ).withColumn("trained_at", trained_at)
 
 
+def save_models(trees: DataFrame, limits: DataFrame, path: str) -> None:
+    """Two tables under ``path``, a folder per model; models of this training replace their own folders only."""
+    for table, name in ((trees, "trees"), (limits, "thresholds")):
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(f"{path}/{name}")
+
+
+def load_models(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``trees, thresholds``. Rows of models that are not there score nothing, as both are joined inner."""
+    kinds = TREE_SCHEMA, "model string, warning double, critical double, n_train long, trained_at timestamp"
+    trees, limits = (spark.read.schema(k).parquet(f"{path}/{n}") for k, n in zip(kinds, ("trees", "thresholds"), strict=True))
+    return trees, limits
+
+
 def classify(scores: DataFrame, limits: DataFrame, as_of: Column, warm_up_days: int = 7, floor: str = "info") -> DataFrame:
     """Adds ``severity``: strictly under the model's thresholds; ``info`` while the model is young."""
     rows = scores.join(F.broadcast(limits), "model")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expressions as x
 from ..operators import energy as e
 from ..operators import forecasts as fc
 from ..operators import forest, seasonal
 from ..operators import series as s
 from ..sources import store
+from ..streaming import rollup as streaming
 from .base import HOURLY, as_of, events, hourly, plain
 
 BUCKET_END = "2024-01-30 23:00:00"
@@ -138,8 +143,41 @@ def a15_residual_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(parts.groupBy("uc").agg(F.stddev_samp(F.when(~F.isnan("residual"), F.col("residual"))).alias("sigma"), F.count("*").alias("n"), F.min("bucket").alias("first_bucket")))
 
 
+def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = seasonal.forecast(_series(spark, sf_dir), ["uc"])
+    return out.select("forecast_for", F.lit("events_1h").alias("source"), F.lit("activity").alias("metric"), F.lit("seasonal").alias("model"), "forecast_value", "forecast_lower", "forecast_upper", as_of().alias("created_at"))
+
+
+def k3_forecast_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = _forecasts(spark, sf_dir)
+    old = new.withColumns({"forecast_for": F.col("forecast_for") - F.expr("INTERVAL 12 HOURS"), "forecast_value": F.lit(0.0), "forecast_lower": F.lit(-1.0), "forecast_upper": F.lit(1.0)})
+    return plain(store.upsert(old, new, store.FORECAST_KEY).select("forecast_for", "forecast_value", "forecast_lower", "forecast_upper"))
+
+
+def u3_forecast_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pv = fc.map_rows(_pv_documents(spark, sf_dir), "watts", "UTC").select("forecast_for", F.lit("pv").alias("model"), F.col("value").alias("forecast_value"))
+    both = _forecasts(spark, sf_dir).unionByName(pv, allowMissingColumns=True)
+    return plain(both.groupBy("model").agg(F.count("*").alias("n"), F.count("forecast_lower").alias("with_bounds"), F.sum("forecast_value").alias("total")))
+
+
+def h11_warm_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severities by value, models trained at the hour of the reading."""
+    rows = events(spark, sf_dir)
+    grade = x.tier(F.col("value"), 38.0, 45.0, 55.0)
+    return rows.select("event_id", x.warm_up(grade, F.date_trunc("hour", "ts"), as_of(), 14).alias("severity"))
+
+
+def r1_streamed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly rollup of the events as a stream: buckets that the watermark has closed."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='wattloom-')}"
+    place = f"{base.rstrip('/')}/wattloom/stream-{uuid.uuid4().hex}"
+    stream = streaming.hourly(streaming.source(spark, sf_dir, "events.parquet", schema), ["event_type"])
+    return plain(streaming.drain(stream, f"{place}/out", f"{place}/state"))
+
+
 QUERIES = [
-    d11_energy_balance, d8_pv_underperformance, d12_pv_rows, d12_pv_upsert, a19_a21_pv_figures, d13_weather_rows, m6_decomposition, d7_seasonal_forecast,
+    k3_forecast_upsert, u3_forecast_families, h11_warm_up, r1_streamed_rollup, d11_energy_balance, d8_pv_underperformance, d12_pv_rows, d12_pv_upsert, a19_a21_pv_figures, d13_weather_rows, m6_decomposition, d7_seasonal_forecast,
     d7_seasonal_anomaly, m1_training_matrix, m2_standard_scaling, d6_iforest_score, d6_iforest_thresholds, a14_quantiles, a15_residual_spread,
 ]
 
@@ -169,6 +207,14 @@ fc AS (SELECT last_h + k AS h, level + slope * k + s AS v, sigma FROM e, line, r
 )
 
 SQL = {
+    "k3_forecast_upsert": f"""WITH {_FORECAST}, n AS (SELECT make_timestamp(h * 3600000000) AS t, v, v - 3 * sigma AS lo, v + 3 * sigma AS hi FROM fc), o AS (SELECT t - INTERVAL 12 HOUR AS t FROM n)
+SELECT coalesce(n.t, o.t) AS forecast_for, round(coalesce(v, 0), 7) AS forecast_value, round(coalesce(lo, -1), 7) AS forecast_lower, round(coalesce(hi, 1), 7) AS forecast_upper FROM n FULL JOIN o ON n.t = o.t""",
+    "u3_forecast_families": f"""WITH {_FORECAST}, h AS (SELECT date_trunc('hour', ts) AS bucket, avg(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1)
+SELECT 'seasonal' AS model, count(*) AS n, count(*) AS with_bounds, round(sum(v), 7) AS total FROM fc HAVING count(*) > 0 UNION ALL SELECT 'pv', count(*), 0, round(sum(v), 7) FROM h""",
+    "h11_warm_up": """SELECT event_id, CASE WHEN value >= 38 AND TIMESTAMP '2024-01-31' < date_trunc('hour', ts) + INTERVAL 14 DAY THEN 'info'
+  WHEN value >= 55 THEN 'critical' WHEN value >= 45 THEN 'warning' WHEN value >= 38 THEN 'info' END AS severity FROM events""",
+    "r1_streamed_rollup": f"""WITH {HOURLY} SELECT bucket, event_type, round(avg_value, 7) AS avg_value, round(min_value, 7) AS min_value, total_samples
+FROM hourly WHERE bucket + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
     "d11_energy_balance": """WITH d AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, ts, value FROM events),
 made AS (SELECT day, sum(greatest(x, 0)) / 1000 AS g FROM (SELECT user_id, day, arg_max(value, ts) - arg_min(value, ts) AS x FROM d WHERE event_type = 'view' GROUP BY 1, 2) GROUP BY 1),
 grid AS (SELECT day, max(x) FILTER (event_type = 'click') AS i, max(x) FILTER (event_type = 'purchase') AS e FROM (

@@ -174,8 +174,32 @@ def t2_newest_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(rows.select("event_type", "bucket", F.col("nth").cast("long").alias("nth"), "avg_value"))
 
 
+def a13_count_even_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _runs(spark, sf_dir).where(F.col("minutes") < 0)
+    return found.agg(F.count("*").alias("n_runs"), F.percentile("minutes", F.lit(0.5)).alias("median_minutes"))
+
+
+def p6_name_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_name").alias("name"), F.col("p_brand").alias("function"))
+    name = F.col("name")
+    flags = {"suffix": name.like("%a"), "infix": name.like("%l%e%") & ~name.like("%re%"), "upper": name.like("%A%")}
+    return part.groupBy("function").agg(*(F.count_if(c).alias(k) for k, c in flags.items()))
+
+
+def p8_deadband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = d.zscore_profile(hourly(spark, sf_dir), KEYS, as_of(), knobs={"deadband_abs": 5.0, "deadband_rel": 0.5})
+    return out.groupBy("event_type").agg(F.count("*").alias("n"), F.count("zscore").alias("outside"))
+
+
+def p1_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.lit("2024-01-15 10:20:00").cast("timestamp")
+    rows = r.closed(hourly(spark, sf_dir), at)
+    rows = rows.where(F.col("bucket") > F.date_trunc("hour", at) - F.expr("INTERVAL 24 HOURS"))
+    return plain(rows.select("bucket", "event_type", "total_samples"))
+
+
 QUERIES = [
-    a1_hourly_rollup, a2_baseline_state, a3_baseline_merge, a4_last_bucket, d1_zscore_profile, d1_zscore_last_bucket, h1_zscore_knobs,
+    a13_count_even_if_empty, p6_name_patterns, p8_deadband, p1_closed_buckets, a1_hourly_rollup, a2_baseline_state, a3_baseline_merge, a4_last_bucket, d1_zscore_profile, d1_zscore_last_bucket, h1_zscore_knobs,
     s12_registry_fan_out, a22_fired_entities, a23_job_counters, a5_role_pivot, d2_cold_room, d3_window_while_heating, w4_trailing_streak,
     d4_left_on_streak, a6_active_rate, w1_runs, j4_as_of_ambient, j4_as_of_by_key, d5_run_length_drift, a7_counter_delta, a8_floored_sum,
     a10_curve_integral, a12_median, p7_resolve_channel, p9_since_local_midnight, t2_newest_buckets,
@@ -214,6 +238,11 @@ runs AS (
 _Z_COLUMNS = "bucket, event_type, round(actual, 7) AS actual, n, round(mean, 7) AS mean, round(sd, 7) AS stddev, round(zscore, 7) AS zscore, severity"
 
 SQL = {
+    "a13_count_even_if_empty": f"WITH {_RUNS} SELECT count(*) AS n_runs, quantile_cont(minutes, 0.5) AS median_minutes FROM runs WHERE minutes < 0",
+    "p6_name_patterns": """SELECT p_brand AS function, count(*) FILTER (p_name LIKE '%a') AS suffix, count(*) FILTER (p_name LIKE '%l%e%' AND p_name NOT LIKE '%re%') AS infix,
+  count(*) FILTER (p_name LIKE '%A%') AS upper FROM part GROUP BY 1""",
+    "p8_deadband": f"WITH {SCORED} SELECT event_type, count(*) AS n, count(*) FILTER (sd > 0 AND abs(actual - mean) >= greatest(5.0, 0.5 * abs(mean))) AS outside FROM z GROUP BY 1",
+    "p1_closed_buckets": f"WITH {HOURLY} SELECT bucket, event_type, total_samples FROM hourly WHERE bucket <= TIMESTAMP '2024-01-15 09:00:00' AND bucket > TIMESTAMP '2024-01-14 10:00:00'",
     "a1_hourly_rollup": f"WITH {HOURLY} SELECT bucket, event_type, round(avg_value, 7) AS avg_value, round(min_value, 7) AS min_value, total_samples, on_samples FROM hourly",
     "a2_baseline_state": f"""WITH {HOURLY} SELECT date_trunc('day', bucket) AS day, hour(bucket)::INTEGER AS hour_of_day, isodow(bucket)::INTEGER AS weekday, event_type,
   count(avg_value) AS n, round(avg(avg_value), 7) AS mean, round(var_pop(avg_value) * count(avg_value), 7) AS m2 FROM hourly GROUP BY 1, 2, 3, 4""",

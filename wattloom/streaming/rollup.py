@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +20,18 @@ def hourly(readings: DataFrame, keys: list[str], time: str = "ts", value: str =
     return out.select(F.col("w.start").alias("bucket"), *keys, "avg_value", "min_value", "total_samples")
 
 
+def source(spark: SparkSession, folder: str, file: str, schema) -> DataFrame:
+    """Parquet files named ``file`` in ``folder`` as a stream."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
+
+
+def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a stream over what its source has now, into Parquet files, and read them."""
+    query = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
 def upsert_batches(path: str, key: list[str], time: str, score: Callable[[DataFrame], DataFrame], publish: Callable[[DataFrame], None] | None = None):
     """A ``foreachBatch`` function: score the batch, publish what is new or escalated, merge into the table at ``path``.
 
