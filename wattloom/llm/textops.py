@@ -1,7 +1,7 @@
 """Whole-batch text statistics in numpy.
 
 Texts arrive as Arrow columns inside Spark tasks. Everything here works on the
-UTF-8 bytes of many texts at once, in chunks of about a megabyte, so that
+UTF-8 bytes of many texts at once, in chunks of about half a megabyte, so that
 memory per task stays bounded however many rows a batch has.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, as the
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
