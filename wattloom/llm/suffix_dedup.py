@@ -245,21 +245,21 @@ def _slice(segment: np.ndarray, send: np.ndarray, k: int) -> np.ndarray:
 
 
 def _merge(rows: pa.Table) -> pa.Table:
-    """Of one fingerprint range: windows found in the sorted list of another shard by binary search."""
+    """Of one fingerprint range: windows whose fingerprint a binary search finds outside their own shard's list."""
     f1, f2, shard = (rows.column(c).to_numpy() for c in ("f1", "f2", "shard"))
-    order = np.lexsort((shard, f2, f1))
-    f1, f2, shard = f1[order], f2[order], shard[order]
-    value = np.cumsum(np.append(0, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])))  # equal fingerprints, equal number
-    lists = {s: value[shard == s] for s in np.unique(shard)}
-    hit = np.zeros(len(value), bool)
-    for s in lists:
-        mine = np.flatnonzero(shard == s)
-        for t, other in lists.items():
-            if t != s:
-                at = np.minimum(np.searchsorted(other, value[mine]), len(other) - 1)
-                hit[mine] |= other[at] == value[mine]
-    got = rows.select(["owner", "digest", "at"]).take(pa.array(order[hit]))
-    return got
+    order = np.lexsort((f2, f1))
+    f1, f2 = f1[order], f2[order]
+    number = np.cumsum(np.append(0, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])))  # equal fingerprints, equal number
+    value = np.empty(len(order), np.int64)
+    value[order] = number
+    count = lambda own, among: np.searchsorted(among, own, "right") - np.searchsorted(among, own, "left")
+    by_shard = np.lexsort((value, shard))
+    cuts = np.flatnonzero(np.append(True, np.diff(shard[by_shard]) != 0))
+    hit = []
+    for a, b in zip(cuts, np.append(cuts[1:], len(by_shard)), strict=True):
+        own = value[by_shard[a:b]]
+        hit.append(by_shard[a:b][count(own, number) > count(own, own)])
+    return rows.select(["owner", "digest", "at"]).take(pa.array(np.concatenate(hit)))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
