@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
+from ..shipping import ship
 
 TREES, SUBSAMPLE, SEED = 100, 256, 42
 #: Quantiles of the training scores under which a row is a warning, or critical.
@@ -50,6 +51,7 @@ def fit(z: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int
     Every tree draws its rows by hash rank; the rank is pre-filtered by a hash
     threshold a few times the wanted share, so no full group is sorted.
     """
+    ship(z.sparkSession)
     count = z.groupBy("model").agg(F.count("*").alias("n"))
     rows = z.join(F.broadcast(count), "model").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     rows = rows.withColumn("h", F.xxhash64("bucket", "z", "tree", F.lit(seed)))
@@ -96,6 +98,7 @@ def score(z: DataFrame, trees: DataFrame, group_rows: int = 100_000) -> DataFram
     Rows meet the trees of their model in groups of about ``group_rows``; the trees (a fixed
     number of small ones) go to each group of the model. Models without trees score nothing.
     """
+    ship(z.sparkSession)
     parts = z.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
     rows = z.join(F.broadcast(parts), "model").select("model", "bucket", "z", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")).alias("part"))
     copies = parts.select(F.col("model").alias("_model"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_part"))
