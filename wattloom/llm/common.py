@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: A join side of at most this many values is sent to every task; a larger one
 #: is joined by a shuffle of both sides.
 BROADCAST_IDS = 1_000_000
@@ -16,6 +18,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +33,7 @@ def work_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared work folder and read it back: lineage ends here."""
+    ship(df.sparkSession)
     path = f"{work_dir(df.sparkSession)}/wattloom/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -37,6 +37,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import few, table, written
 
@@ -182,6 +183,7 @@ class Shard:
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, score, question_share, answer_share`` of all verified matches of ``items(item_id, text)``."""
+    ship(docs.sparkSession)
     order = items.where("item_id IS NOT NULL").select("item_id", "text").distinct()
     spans, n = [], order.count()
     if n > SHARD_ITEMS * SHARDS_A_PASS:

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import components, keep_ids, table, written
 
@@ -116,6 +117,7 @@ def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text, ...)``."""
+    ship(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     sketches = written(
         texts.mapInArrow(

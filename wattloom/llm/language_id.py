@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import table
 
 #: Labelled texts of a language that make its dictionary, and bytes taken from each.
@@ -69,6 +70,7 @@ def classify(text: str | None, names: list[str], made: list[zstandard.ZstdCompre
 
 def identify(docs: DataFrame, labelled: DataFrame, level: int = LEVEL) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     known = dictionaries(labelled)
     spread = docs.sparkSession.sparkContext.broadcast(known)  # SAMPLE_TEXTS x PIECE_BYTES for each language
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import table
 from .quality_rules import labelled
@@ -182,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, spread, sample: int = SAMPLE_ROWS) -
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     spread = context.broadcast(word_vectors(docs))
     net = context.broadcast(fit(docs, labels, spread))

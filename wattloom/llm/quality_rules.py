@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import table
 
@@ -185,6 +186,7 @@ def judge(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None)
 
     A made column whose name is among ``columns`` gets an underscore in front.
     """
+    ship(docs.sparkSession)
     columns = columns or ["doc_id"]
     forest = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     kinds = dict(docs.dtypes)

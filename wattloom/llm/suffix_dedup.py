@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import join_few, table, written
 
@@ -284,6 +285,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def covered_ranges(docs: DataFrame) -> DataFrame:
     """``doc_id, ranges``: the merged byte ranges to remove, in order, of documents that lose any."""
+    ship(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     found = written(texts.mapInArrow(_segment_rows, "doc_id long, start long, size long, owner long, digest long, twice boolean"), "segments")
     owners = found.groupBy("owner").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 OR t").select("owner")

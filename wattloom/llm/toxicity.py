@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from . import textops as tx
 from .common import table, written
 
@@ -273,6 +274,7 @@ def hash_word(word: str) -> int:
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score`` for every row of ``docs(doc_id, text)``."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
