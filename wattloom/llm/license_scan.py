@@ -45,9 +45,10 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] = LICENSES) -> DataFrame:
     spark = docs.sparkSession
     names = spark.createDataFrame(known, "license_id string, t string")
     names = names.select("license_id", F.sha2(canonical(F.col("t")), 256).alias("digest")).distinct()
-    line = F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("t")))
-    unit = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("t"))), line)
-    units = docs.where("text IS NOT NULL").select("doc_id", F.explode(unit).alias("u")).select("doc_id", "u.whole", canonical(F.col("u.t")).alias("c"))
+    lines = docs.where("text IS NOT NULL").select("doc_id", F.transform(F.split("text", "\n"), canonical).alias("lines"))
+    full = F.filter("lines", lambda x: x != "")  # no rule reaches over a line end, so lines put together are the whole text's form
+    unit = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.concat_ws(" ", full).alias("c"))), F.transform(full, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("c"))))
+    units = lines.select("doc_id", F.explode(unit).alias("u")).select("doc_id", "u.whole", "u.c")
     units = units.where("c <> ''").select("doc_id", "whole", F.sha2("c", 256).alias("digest"))
     found = units.join(F.broadcast(names), "digest")
     count = F.sum(F.when(F.col("whole"), 0).otherwise(1))
