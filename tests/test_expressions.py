@@ -194,6 +194,32 @@ def test_weather_arrays(spark):
         forecasts.array_rows(short, "time", fields).collect()
 
 
+def test_weather_documents_and_scans(spark, tmp_path):
+    arrays = ", ".join(f'"{f}": [1.0, 2.0]' for f in readings.WEATHER_FIELDS)
+    (tmp_path / "w.json").write_text('{"hourly": {"time": ["2026-01-01T00:00", "2026-01-01T01:00"], ' + arrays + "}}")
+    rows = forecasts.array_rows(readings.weather_documents(spark, str(tmp_path)), "time", {f: f for f in readings.WEATHER_FIELDS})
+    assert rows.count() == 10
+    df = spark.createDataFrame([("a", ts("2024-01-01")), ("b", ts("2024-01-02")), ("a", ts("2024-01-03"))], "ga string, ts timestamp")
+    low, high = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-03").cast("timestamp")
+    assert [r.ts.day for r in readings.channels(readings.between(df, low, high), ["a"]).collect()] == [3]
+
+
+def test_models_are_tables(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(m, start + dt.timedelta(hours=k), [float(k % 7), float((k * 3) % 5)]) for m in ("a", "b") for k in range(80)]
+    z = forest.scaled(df := spark.createDataFrame(rows, "model string, bucket timestamp, x array<double>"), forest.scales(df, 50))
+    path, now = str(tmp_path / "models"), F.lit("2024-02-01").cast("timestamp")
+    trees = forest.fit(z, trees=5)
+    forest.save_models(trees, forest.thresholds(forest.score(z, trees), now), path)
+    only_a = forest.fit(z.where("model = 'a'"), trees=3)
+    forest.save_models(only_a, forest.thresholds(forest.score(z, only_a), now), path)
+    trees, limits = forest.load_models(spark, path)
+    assert {(r.model, r["count"]) for r in trees.select("model", "tree").distinct().groupBy("model").count().collect()} == {("a", 3), ("b", 5)}
+    other = z.where("model = 'a'").withColumn("model", F.lit("unknown"))
+    assert forest.score(z.unionByName(other), trees).select("model").distinct().count() == 2
+    assert limits.count() == 2 and forest.classify(forest.score(z, trees), limits, now).count() == 160
+
+
 def test_pv_underperformance_gate(spark):
     rows = spark.createDataFrame([(1, 6.5, 10.0), (2, 6.4, 10.0), (3, 4.9, 10.0), (4, 3.4, 10.0), (5, 0.1, 1.0)], "k int, actual_kwh double, expected_kwh double")
     out = energy.pv_underperformance(rows.select("k", "actual_kwh"), rows.select("k", "expected_kwh"), ["k"])
@@ -226,7 +252,7 @@ def test_forest_finds_an_outlier_and_seasons_follow_a_wave(spark):
     rows = [("m", start + dt.timedelta(hours=k), [float(k % 7), float((k * 3) % 5)]) for k in range(300)] + [("m", dt.datetime(2024, 3, 1), [60.0, -40.0])]
     z = forest.scaled(df := spark.createDataFrame(rows, "model string, bucket timestamp, x array<double>"), forest.scales(df))
     trees = forest.fit(z, trees=30)
-    scores = forest.score(z, trees, group_rows=100).orderBy("score").collect()
+    scores = forest.score(z, trees, group_rows=3).orderBy("score").collect()
     assert scores[0].bucket == dt.datetime(2024, 3, 1) and len(scores) == 301
     import math
 

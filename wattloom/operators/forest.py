@@ -99,16 +99,15 @@ def score(z: DataFrame, trees: DataFrame, group_rows: int = 100_000) -> DataFram
     number of small ones) go to each group of the model. Models without trees score nothing.
     """
     ship(z.sparkSession)
-    parts = z.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
+    known = z.join(F.broadcast(trees.select("model").distinct()), "model", "left_semi")
+    parts = known.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
     rows = z.join(F.broadcast(parts), "model").select("model", "bucket", "z", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")).alias("part"))
-    copies = parts.select(F.col("model").alias("_model"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_part"))
+    copies = rows.select(F.col("model").alias("_model"), F.col("part").alias("_part")).distinct()
     nodes = trees.join(F.broadcast(copies), F.col("model") == F.col("_model"))
     return rows.groupBy("model", "part").cogroup(nodes.groupBy("_model", "_part")).applyInPandas(_score, "model string, bucket timestamp, score double")
 
 
 def _score(rows: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
-    if not len(rows) or not len(nodes):
-        return pd.DataFrame({"model": [], "bucket": pd.Series([], dtype="datetime64[ns]"), "score": []})
     t = _tables(nodes)
     path = _paths(t, np.stack(rows["z"].to_numpy()))
     norm = max(float(average_path(t["size"][:, 0].mean())), 1e-9)
