@@ -119,7 +119,7 @@ def m2_standard_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _forest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = _matrix(spark, sf_dir)
     z = forest.scaled(rows, forest.scales(rows, 1))
-    return z, forest.score(z, forest.fit(z))
+    return z, forest.score(z, forest.fit(z)).persist()  # thresholds and severities read it
 
 
 def d6_iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
