@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PROFILE_SCHEMA = "uc string, source string, metric string, keys array<string>, floor string, silenced boolean, stddev_rel double, stddev_abs double, deadband_abs double, deadband_rel double, scope string, emit_entity boolean"
+PROFILE_SCHEMA = (
+    "uc string, source string, metric string, keys array<string>, floor string, silenced boolean, stddev_rel double, "
+    "stddev_abs double, deadband_abs double, deadband_rel double, scope string, emit_entity boolean"
+)
 
 _INVERTER, _METER, _CHANNEL = ["inverter_id"], ["meter_id"], ["ga", "knx_name"]
 _FIRST = "inverter_id = 1"

@@ -91,7 +91,13 @@ def cold_room(rooms: DataFrame, valve_above: float = 50.0, gap: tuple[float, flo
     return rows.withColumn("severity", x.tier(F.col("gap_c"), *gap))
 
 
-def window_while_heating(rooms: DataFrame, outdoor: DataFrame, join: list[str], cold_below: float = 12.0, valve: tuple[float, float, float] = (0.0, 25.0, 50.0)) -> DataFrame:
+def window_while_heating(
+    rooms: DataFrame,
+    outdoor: DataFrame,
+    join: list[str],
+    cold_below: float = 12.0,
+    valve: tuple[float, float, float] = (0.0, 25.0, 50.0),
+) -> DataFrame:
     """Rows with ``window_open, valve_pct`` whose window is open while heating and it is cold outside (``outdoor_c``)."""
     rows = rooms.join(F.broadcast(outdoor), join)
     rows = rows.where(x.usable(F.col("window_open")) & (F.col("window_open") > 0) & x.usable(F.col("valve_pct")) & (F.col("valve_pct") > valve[0]))
@@ -121,7 +127,13 @@ def left_on_streak(
 
 
 def run_length_drift(
-    found: DataFrame, keys: list[str], ambient: str = "ambient", warm_at: float = 24.0, most_minutes: float = 180.0, least_runs: int = 15, tiers: tuple[float, float, float] = (38.0, 45.0, 55.0)
+    found: DataFrame,
+    keys: list[str],
+    ambient: str = "ambient",
+    warm_at: float = 24.0,
+    most_minutes: float = 180.0,
+    least_runs: int = 15,
+    tiers: tuple[float, float, float] = (38.0, 45.0, 55.0),
 ) -> DataFrame:
     """Median run length on warm days per key: ``keys, n_runs, median_minutes, severity``; keys with too few runs go."""
     warm = found.where((F.col("minutes") < most_minutes) & x.usable(F.col(ambient)) & (F.col(ambient) >= warm_at))

@@ -61,6 +61,8 @@ def text(anomalies: DataFrame, until: Column, n: int = TOP, exclude_clears: bool
         ).alias("l")
     )
     shown = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.format_string("%.2f", F.round(F.round(c, 7), 2)))
+    cells = (F.date_format("time", "yyyy-MM-dd HH:mm"), "severity", "uc", "metric", shown("score"), shown("actual"), shown("expected"))
+    rank = severity_rank(F.col("severity"))
     uc = by_use_case(anomalies, until, exclude_clears)
     worst = top(anomalies, until, n, exclude_clears)
     order = Window.orderBy(severity_rank(F.col("severity")).desc(), F.abs("score").desc_nulls_last(), "time", "source", "metric", "detector")
@@ -68,13 +70,16 @@ def text(anomalies: DataFrame, until: Column, n: int = TOP, exclude_clears: bool
     parts = [
         head.select(F.lit(0).alias("part"), F.lit(0).cast("long").alias("k"), F.concat_ws("\n", "l").alias("line"), F.lit("").alias("sub")),
         _title(anomalies, 1, ["", "## By severity", "", "| severity | count |", "|---|---:|"]),
-        counts.select(F.lit(2).alias("part"), (-severity_rank(F.col("severity"))).cast("long").alias("k"), F.format_string("| %s | %d |", "severity", "n_now").alias("line"), F.lit("").alias("sub")),
+        counts.select(
+            F.lit(2).alias("part"), (-rank).cast("long").alias("k"),
+            F.format_string("| %s | %d |", "severity", "n_now").alias("line"), F.lit("").alias("sub"),
+        ),
         _title(anomalies, 3, ["", "## By use-case", "", "| uc | count |", "|---|---:|"]),
         uc.select(F.lit(4).alias("part"), (-F.col("n")).alias("k"), F.format_string("| %s | %d |", "uc", "n").alias("line"), F.col("uc").alias("sub")),
         _title(anomalies, 5, ["", f"## Top {n} anomalies", "", "| time | severity | uc | metric | score | actual | expected |", "|---|---|---|---|---:|---:|---:|"]),
         worst.select(
             F.lit(6).alias("part"), F.col("k").cast("long").alias("k"),
-            F.format_string("| %s | %s | %s | %s | %s | %s | %s |", F.date_format("time", "yyyy-MM-dd HH:mm"), "severity", "uc", "metric", shown("score"), shown("actual"), shown("expected")).alias("line"), F.lit("").alias("sub"),
+            F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"), F.lit("").alias("sub"),
         ),
     ]
     rows = reduce(DataFrame.unionByName, parts)

@@ -25,7 +25,13 @@ def energy_balance(generation: DataFrame, meters: DataFrame, keys: list[str], im
     return rows.withColumns(x.balance(F.col("generation_kwh"), F.col("import_kwh"), F.col("export_kwh")))
 
 
-def pv_underperformance(actual: DataFrame, expected: DataFrame, keys: list[str], least_kwh: float = 3.0, tiers: tuple[float, float, float] = (0.65, 0.5, 0.35)) -> DataFrame:
+def pv_underperformance(
+    actual: DataFrame,
+    expected: DataFrame,
+    keys: list[str],
+    least_kwh: float = 3.0,
+    tiers: tuple[float, float, float] = (0.65, 0.5, 0.35),
+) -> DataFrame:
     """``actual_kwh`` against ``expected_kwh`` per key: adds ``ratio, severity``, NULL where too little was expected."""
     rows = actual.join(expected, keys)
     exact = F.when(F.col("expected_kwh") >= least_kwh, F.col("actual_kwh") / F.col("expected_kwh"))

@@ -67,7 +67,15 @@ def forecast(series: DataFrame, keys: list[str], horizon: int = 24, width: float
     )
 
 
-def anomalies(actual: DataFrame, predicted: DataFrame, keys: list[str], bucket: str = "bucket", value: str = "y", tiers: tuple[float, float, float] = (1.0, 1.5, 2.5), floor: str = "info") -> DataFrame:
+def anomalies(
+    actual: DataFrame,
+    predicted: DataFrame,
+    keys: list[str],
+    bucket: str = "bucket",
+    value: str = "y",
+    tiers: tuple[float, float, float] = (1.0, 1.5, 2.5),
+    floor: str = "info",
+) -> DataFrame:
     """Actual values at forecast times: adds ``score`` (sigmas away) and ``severity``."""
     rows = actual.join(predicted.withColumnRenamed("forecast_for", bucket), [*keys, bucket])
     score = F.abs(F.col(value) - F.col("forecast_value")) / F.col("sigma")

@@ -39,7 +39,16 @@ def trailing_streak(rows: DataFrame, keys: list[str], active: Column, bucket: st
     return rows.withColumn("streak", F.when(F.col("_on"), place).otherwise(0)).drop("_on", "_fresh", "_group")
 
 
-def as_of_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, value: str, alias: str, keys: list[str] | None = None, spans: str = "day") -> DataFrame:
+def as_of_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_time: str,
+    right_time: str,
+    value: str,
+    alias: str,
+    keys: list[str] | None = None,
+    spans: str = "day",
+) -> DataFrame:
     """Each row of ``left`` with the latest ``value`` of ``right`` at or before its time; a NULL latest value stays NULL.
 
     Union, one sort, one running ``last``. Without keys the whole table would be
