@@ -8,13 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from .. import shipping
 
 #: A join side of at most this many values is sent to every task; a larger one
 #: is joined by a shuffle of both sides.
 BROADCAST_IDS = 1_000_000
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Texts are long: so many rows, and not Spark's 10,000, make an Arrow batch unless the session says otherwise.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """What Python tasks need: this package on the executors, and Arrow batches that fit beside the heap."""
+    shipping.ship(spark)
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

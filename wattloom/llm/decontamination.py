@@ -37,9 +37,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from . import textops as tx
-from .common import few, table, written
+from .common import few, ship, table, written
 
 THRESHOLD = 0.5
 QUESTION_SHARE = 0.5

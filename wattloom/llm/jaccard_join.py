@@ -43,9 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from . import textops as tx
-from .common import components, keep_ids, table, written
+from .common import components, keep_ids, ship, table, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80

@@ -24,8 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..shipping import ship
-from .common import table
+from .common import ship, table
 
 #: Labelled texts of a language that make its dictionary, and bytes taken from each.
 SAMPLE_TEXTS = 150

@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from . import textops as tx
-from .common import table
+from .common import ship, table
 from .quality_rules import labelled
 
 SAMPLE_ROWS = 8_000

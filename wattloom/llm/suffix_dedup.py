@@ -40,9 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from . import textops as tx
-from .common import join_few, table, written
+from .common import join_few, ship, table, written
 
 LENGTH = 200
 GRAM = 64

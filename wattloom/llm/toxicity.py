@@ -37,9 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from . import textops as tx
-from .common import table, written
+from .common import ship, table, written
 
 #: Labelled texts to learn from; words of each class in the training set (twice as
 #: many clean ones) and landmarks of each; log-likelihood ratio that marks a bad word.
