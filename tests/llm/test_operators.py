@@ -213,6 +213,35 @@ def test_leaks_against_force(spark):
         assert len(a & b) * 3 >= len(b)
 
 
+def test_edited_copies_of_items_leak(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    some = lambda n: " ".join(word() for _ in range(n))
+    items, rows = {}, {}
+    for k, (q, a) in enumerate([(24, 1), (24, 2), (20, 4), (24, 5), (30, 6), (30, 7), (9, 3), (40, 24)]):
+        question, answer = some(q), some(a)
+        items[k] = f"{question}. {answer}."
+        edited = answer.split()
+        edited[a // 2] = "changed"
+        copies = [items[k], f"{question}. {' '.join(edited)}.", f"{question[: question.index(' ')]} changed {question.split(' ', 2)[2]}. {answer}."]
+        copies += [f"{question}."] if a <= decontamination.SHORT_ANSWER else []
+        rows |= {(k, n): f"{some(90)} {x} {some(90)}" for n, x in enumerate(copies)}
+    items[99] = some(30) + ". " + some(30) + "."  # the question alone is not an item with a long answer
+    rows[99, 0] = f"{some(90)} {items[99].split('.')[0]} {some(90)}"
+    docs = spark.createDataFrame([(k * 10 + n, t) for (k, n), t in rows.items()], "doc_id long, text string")
+    got = decontamination.contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(k * 10 + n, k) for k, n in rows if k != 99}
+
+
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    docs, items = table(spark, TINY, "documents"), table(spark, TINY, "benchmark")
+    want = sorted(map(tuple, decontamination.contaminated(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "SHARD_ITEMS", 7)
+    monkeypatch.setattr(decontamination, "SHARDS_A_PASS", 2)
+    got = sorted(map(tuple, decontamination.contaminated(docs, items).collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want] and np.allclose(got, want)
+
+
 def test_wand_finds_what_full_scoring_finds():
     rng = np.random.default_rng(4)
     items = [(k, " ".join(f"t{x}" for x in rng.integers(0, 40, rng.integers(6, 25)))) for k in range(60)]

@@ -15,11 +15,14 @@ passage without a block at the threshold cannot retrieve anything. The rest
 go through the document-at-a-time WAND loop, which skips items and blocks by the
 same bounds. Retrieved items are then verified: enough of the item's question
 and of its answer (its last sentence) has to stand in the passage as runs of
-``GRAM`` words.
+``GRAM`` words; a part under four times GRAM words is cut into shorter runs, down to single
+words, so that one changed word never takes all of them. An answer of at most ``SHORT_ANSWER``
+words may be missing if the question is nearly whole.
 
 The index is cut into shards of ``SHARD_ITEMS`` items, which bounds a table, and
 the corpus is read once for ``SHARDS_A_PASS`` shards; the items, never the
-corpus, go through the driver, a pass at a time.
+corpus, go through the driver, a pass at a time. Document frequencies and the mean length
+are those of all items, counted on Spark, so a score does not depend on the cuts.
 
 Defined results: null or empty texts and items under TERM_WORDS words match nothing;
 items with equal text each report; a document reports an item once, with its
@@ -43,7 +46,9 @@ from .common import few, ship, table, written
 THRESHOLD = 0.5
 QUESTION_SHARE = 0.5
 ANSWER_SHARE = 0.5
+NEARLY_WHOLE = 0.8
 GRAM = 5
+SHORT_ANSWER = 2 * GRAM
 TERM_WORDS = 3
 LEAST_STRIDE = 64
 SHARD_ITEMS = 512
@@ -68,16 +73,20 @@ def text_terms(text: str) -> np.ndarray:
 
 
 def grams(words: np.ndarray) -> tuple[np.ndarray, int]:
-    """The distinct runs of GRAM words, or of all words if they are fewer, and the length of a run."""
-    size = max(1, min(GRAM, len(words)))
+    """The distinct runs of GRAM words, or of a quarter of the words if that is fewer, and the length of a run."""
+    size = max(1, min(GRAM, len(words) // 4))
     return np.unique(tx.window_hash(words, size)), size
 
 
 class Shard:
-    """Inverted index of at most SHARD_ITEMS items with block maxima."""
+    """Inverted index of at most SHARD_ITEMS items with block maxima.
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.question, self.answer, bags = [], [], [], []
+    ``whole``: number and mean length of all items and the frequency of terms that two or more of them have;
+    without it, these items are all.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], whole: tuple[int, float, dict[int, int]] | None = None):
+        self.ids, self.question, self.answer, self.short, bags = [], [], [], [], []
         self.longest = 0
         for item, text in items:
             words = text_terms(text or "")
@@ -89,12 +98,17 @@ class Shard:
             self.ids.append(item)
             self.question.append(grams(head))
             self.answer.append(grams(tail if len(tail) else words))
+            self.short.append(len(tail) <= SHORT_ANSWER)
             bags.append(np.unique(tx.window_hash(words, TERM_WORDS), return_counts=True))
             self.longest = max(self.longest, len(words))
         n = len(bags)
         mean = np.mean([c.sum() for _, c in bags]) if bags else 1.0
         self.vocabulary, df = np.unique(np.concatenate([w for w, _ in bags]), return_counts=True) if bags else (np.zeros(0, np.uint64), np.zeros(0))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        total = n
+        if whole is not None:
+            total, mean = whole[:2]
+            df = np.array([whole[2].get(w, 1) for w in self.vocabulary.view(np.int64).tolist()])
+        idf = np.log1p((total - df + 0.5) / (df + 0.5))
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         self.block_max = np.zeros((len(self.vocabulary), -(-n // BLOCK)), np.float32)
         for k, (w, c) in enumerate(bags):
@@ -145,7 +159,7 @@ class Shard:
         return found
 
     def search(self, words: np.ndarray, doc: np.ndarray, n_docs: int, stride: int, threshold: float) -> Iterator[tuple]:
-        """``(document, item, score, question share, answer share)`` for every passage and retrieved item."""
+        """``(document, item, score, question share, answer share)`` for every passage and verified item."""
         if not len(words) or not len(self.vocabulary):
             return
         first = np.searchsorted(doc, np.arange(n_docs + 1))
@@ -176,26 +190,40 @@ class Shard:
             start = first[d] + (b - base[d]) * stride
             passage = words[start : min(start + 2 * stride, first[d + 1])]
             for item, score in found:
-                shares = (np.isin(g, tx.window_hash(passage, n)).mean() for g, n in (self.question[item], self.answer[item]))
-                yield d, self.ids[item], score, *map(float, shares)
+                question, answer = (float(np.isin(g, tx.window_hash(passage, n)).mean()) for g, n in (self.question[item], self.answer[item]))
+                if question >= QUESTION_SHARE and answer >= ANSWER_SHARE or self.short[item] and question >= NEARLY_WHOLE:
+                    yield d, self.ids[item], score, question, answer
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of terms and the distinct terms of every item that has any."""
+    for batch in batches:
+        out = []
+        for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            runs = tx.window_hash(text_terms(text or ""), TERM_WORDS)
+            if len(runs):
+                out.append((part, len(runs), np.unique(runs).view(np.int64)))
+        kinds = pa.int32(), pa.int64(), pa.list_(pa.int64())
+        cols = [pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "terms"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, score, question_share, answer_share`` of all verified matches of ``items(item_id, text)``."""
     ship(docs.sparkSession)
     order = items.where("item_id IS NOT NULL").select("item_id", "text").distinct()
-    spans, n = [], order.count()
-    if n > SHARD_ITEMS * SHARDS_A_PASS:
-        steps = [k / (n // (SHARD_ITEMS * SHARDS_A_PASS) + 1) for k in range(1, n // (SHARD_ITEMS * SHARDS_A_PASS) + 1)]
-        cuts = order.approxQuantile("item_id", steps, 0.001)
-        spans = list(zip([None, *cuts], [*cuts, None], strict=True))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-order.count() // (SHARD_ITEMS * SHARDS_A_PASS)))))
+    order = written(order.withColumn("part", part.cast("int")), "items")
+    bags = written(order.select("part", "text").mapInArrow(_bags, "part int, n long, terms array<long>"), "bags")
+    n, mean = bags.agg(F.count("*"), F.avg("n")).first()
+    each = bags.select("part", F.explode("terms").alias("term"))
+    common = written(each.groupBy("term").agg(F.count("*").alias("df")).where("df > 1"), "terms")
     passes = []
-    for low, high in spans or [(None, None)]:
-        part = order
-        part = part if low is None else part.where(F.col("item_id") > low)
-        part = part if high is None else part.where(F.col("item_id") <= high)
-        rows = [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
-        shards = [Shard(rows[k : k + SHARD_ITEMS]) for k in range(0, len(rows), SHARD_ITEMS)]
+    for k in sorted(r.part for r in order.select("part").distinct().collect()) or [0]:
+        rows = [(r.item_id, r.text) for r in order.where(F.col("part") == k).orderBy("item_id", "text").collect()]
+        known = common.join(each.where(F.col("part") == k).select("term"), "term", "left_semi")
+        whole = n, mean, {r.term: r.df for r in known.collect()}
+        shards = [Shard(rows[a : a + SHARD_ITEMS], whole) for a in range(0, len(rows), SHARD_ITEMS)]
         passes.append(_pass(docs, [s for s in shards if s.ids], threshold))
     return reduce(DataFrame.unionByName, passes)
 
@@ -210,8 +238,7 @@ def _pass(docs: DataFrame, shards: list[Shard], threshold: float) -> DataFrame:
             best: dict[tuple[int, int], tuple] = {}
             for shard in spread.value:
                 for d, item, *figures in shard.search(words, doc, batch.num_rows, stride, threshold):
-                    if figures[1] >= QUESTION_SHARE and figures[2] >= ANSWER_SHARE:
-                        best[d, item] = max(best.get((d, item), (-1.0,)), tuple(figures))
+                    best[d, item] = max(best.get((d, item), (-1.0,)), tuple(figures))
             keys = sorted(best)
             cols = [batch.column(0).take(pa.array([d for d, _ in keys], pa.int64())), pa.array([i for _, i in keys], pa.int64())]
             cols += [pa.array([best[k][c] for k in keys], pa.float64()) for c in range(3)]
