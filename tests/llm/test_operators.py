@@ -114,6 +114,23 @@ def test_suffix_dedup_against_force(spark, monkeypatch, shard):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == removed_by_force(rows)
 
 
+@pytest.mark.parametrize("shard", [1 << 20, 1 << 11])
+def test_suffix_dedup_counts_rows_without_id(spark, monkeypatch, shard):
+    """Rows without doc_id that hold whole and partial segments of others, and strings that repeat only there."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    common, other, third = letters(700), letters(500), letters(400)
+    named = {1: letters(80) + common[:500] + letters(90), 2: letters(50) + common[100:] + letters(60), 3: letters(70) + common, 4: common}
+    named |= {5: letters(100) + other[:300], 6: letters(300), 7: "ab " * 150, 8: third[30:330]}
+    nameless = [common, common, letters(40) + other + letters(40), "ab " * 150, third, None, letters(300)]
+    rows = [*named.items(), *((None, t) for t in nameless)]
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = removed_by_force(named | {f"nameless {k}": t for k, t in enumerate(nameless)})
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got if r.doc_id} == {i: want[i] for i in named}
+    assert len(got) == len(rows) and not any(r.n_removed for r in got if r.doc_id is None)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(5)
     for _ in range(60):

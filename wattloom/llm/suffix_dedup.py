@@ -27,7 +27,8 @@ owner. A maximal run of windows with one owner is a segment.
 Defined results: null text is the empty string; texts under LENGTH bytes lose
 nothing and help no other; rows with equal text repeat each other even if doc_id
 is the same (doc_id is expected to determine the text); a row without doc_id
-counts as an occurrence but loses nothing; columns other than doc_id and text are ignored.
+counts as an occurrence but loses nothing (its bytes, where no other row has them, are
+fetched by a hash of its text); columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -88,26 +89,27 @@ def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int
     return doc[begin], begin - off[doc[begin]], stop - begin, owner[begin], tx.span_hash(sums, begin, stop), twice
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, int]]:
-    """Doc ids, bytes, offsets and first place of chunks; a text over PIECE_BYTES comes in overlapping pieces."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray, int]]:
+    """Keys (columns but the second, the text), bytes, offsets and first place of chunks; a text over PIECE_BYTES comes in overlapping pieces."""
     for batch in tx.chunks(batches):
         data, off = tx.text_bytes(batch.column(1))
+        ids = [batch.column(0), *batch.columns[2:]]
         if len(data) <= PIECE_BYTES:
-            yield batch.column(0), data, off, 0
+            yield ids, data, off, 0
             continue
         for k in range(batch.num_rows):
             text = data[off[k] : off[k + 1]]
             for a in range(0, max(1, len(text) - LENGTH + 1), PIECE_BYTES):
                 part = text[a : a + PIECE_BYTES + LENGTH - 1]
-                yield batch.column(0).slice(k, 1), part, np.array([0, len(part)]), a
+                yield [c.slice(k, 1) for c in ids], part, np.array([0, len(part)]), a
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, data, off, base in _pieces(batches):
         doc, start, size, owner, digest, twice = segments(data, off)
-        cols = [ids.take(pa.array(doc)), pa.array(start + base), pa.array(size)]
+        cols = [c.take(pa.array(doc)) for c in ids] + [pa.array(start + base), pa.array(size)]
         cols += [pa.array(owner.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(twice)]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "size", "owner", "digest", "twice"])
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lost", "start", "size", "owner", "digest", "twice"])
 
 
 def suffix_array(text: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -286,25 +288,31 @@ def covered_ranges(docs: DataFrame) -> DataFrame:
     """``doc_id, ranges``: the merged byte ranges to remove, in order, of documents that lose any."""
     ship(docs.sparkSession)
     texts = docs.select("doc_id", "text")
-    found = written(texts.mapInArrow(_segment_rows, "doc_id long, start long, size long, owner long, digest long, twice boolean"), "segments")
+    marked = texts.withColumn("lost", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    found = written(marked.mapInArrow(_segment_rows, "doc_id long, lost long, start long, size long, owner long, digest long, twice boolean"), "segments")
     owners = found.groupBy("owner").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 OR t").select("owner")
-    found = written(found.join(owners, "owner").select("doc_id", "start", "size", "owner", "digest", "twice"), "repeated")
+    found = written(found.join(owners, "owner").select("doc_id", "lost", "start", "size", "owner", "digest", "twice"), "repeated")
     kinds = found.groupBy("owner", "digest").agg(
-        F.count("*").alias("n"), F.max("size").alias("size"), F.max("twice").alias("twice"), F.min(F.struct("doc_id", "start")).alias("at")
-    )
+        F.count("*").alias("n"), F.max("size").alias("size"), F.max("twice").alias("twice"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "lost", "start")).alias("at"),
+    )
     kinds = written(kinds, "kinds")
     totals = kinds.groupBy("owner").agg(F.count("*").alias("k"), F.sum("size").alias("bytes"), F.max("twice").alias("t"))
     plain = kinds.join(totals.where("k = 1 AND NOT t").select("owner"), "owner").where("n > 1")
     plain = plain.select("owner", "digest", F.lit(0).cast("long").alias("from_byte"), F.col("size").alias("to_byte"))
     mixed = kinds.join(totals.where("k > 1 OR t").select("owner", F.ceil(F.col("bytes") / (SHARD_BYTES // 2)).alias("cut")), "owner")
-    mixed = written(mixed.select("owner", "digest", "n", "size", "cut", "at.doc_id", "at.start").where("doc_id IS NOT NULL"), "mixed")
+    mixed = written(mixed.select("owner", "digest", "n", "size", "cut", "at.doc_id", "at.lost", "at.start"), "mixed")
 
     total = mixed.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    wanted = written(mixed.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "digest", "n", "cut", "start", "size")).alias("wanted")), "wanted")
-    with_text = texts.join(wanted.hint("shuffle_merge"), "doc_id")
+    wanted = written(mixed.groupBy("doc_id", "lost").agg(F.collect_list(F.struct("owner", "digest", "n", "cut", "start", "size")).alias("wanted")), "wanted")
+    with_text = texts.join(wanted.drop("lost").hint("shuffle_merge"), "doc_id").select("text", "wanted")
+    nameless = wanted.where("lost IS NOT NULL").select("lost", "wanted")
+    if not nameless.isEmpty():
+        once = marked.where("lost IS NOT NULL").groupBy("lost").agg(F.first("text").alias("text"))
+        with_text = with_text.unionByName(once.join(nameless.hint("shuffle_merge"), "lost").select("text", "wanted"))
     schema = "owner long, digest long, n long, cut long, bytes binary"
-    pieces = with_text.select("text", "wanted").mapInArrow(_fetch, schema).dropDuplicates(["owner", "digest"])
+    pieces = with_text.mapInArrow(_fetch, schema).dropDuplicates(["owner", "digest"])
     salt = F.pmod(F.xxhash64("digest"), F.col("cut"))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("owner", salt), F.lit(shards)))
     cover = written(dealt.groupBy("shard").applyInArrow(_shard, _COVER), "cover")
