@@ -250,6 +250,24 @@ def test_edited_copies_of_items_leak(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(k * 10 + n, k) for k, n in rows if k != 99}
 
 
+def test_rows_without_id_are_cleaned_and_deduplicated(spark):
+    rng = random.Random(9)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    item, lost, clean, near, twice, other, lone = some(30), some(30), some(80), some(80), some(80), some(80), some(80)
+    rows = [(None, f"{some(40)} {item}"), (1, f"{some(40)} {lost}"), (None, clean), (2, near), (3, f"{some(40)} {item}"), (3, twice)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, item), (None, lost), (None, item)], "item_id long, text string")
+    assert {(r.doc_id, r.text) for r in decontamination.clean(docs, items).collect()} == {(None, clean), (2, near), (3, twice)}
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()} == {(None, 7), (1, None), (3, 7)}
+
+    rows = [(None, clean), (None, clean), (None, clean + " end"), (None, near), (5, near + " end"), (6, twice), (6, twice)]
+    rows += [(8, other), (8, lone), (9, other + " end"), (10, ""), (10, ""), (11, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()), key=str)
+    assert len(got) == 8 and sum(t in (clean, clean + " end") for _, t in got) == 1
+    assert {(5, near + " end"), (6, twice), (8, lone), (9, other + " end"), (10, ""), (11, ""), (None, None)} <= set(got)
+
+
 def test_scores_do_not_depend_on_shards(spark, monkeypatch):
     docs, items = table(spark, TINY, "documents"), table(spark, TINY, "benchmark")
     want = sorted(map(tuple, decontamination.contaminated(docs, items).collect()))

@@ -26,7 +26,9 @@ are those of all items, counted on Spark, so a score does not depend on the cuts
 
 Defined results: null or empty texts and items under TERM_WORDS words match nothing;
 items with equal text each report; a document reports an item once, with its
-best passage; rows that repeat a doc_id report once; no items, no rows.
+best passage; rows that repeat a doc_id report once, rows without one together with a null
+doc_id; an item without item_id reports a null item_id unless an item with one has its text;
+no items, no rows. ``clean`` judges each row by its own text, whatever its doc_id.
 """
 
 from __future__ import annotations
@@ -211,7 +213,9 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, score, question_share, answer_share`` of all verified matches of ``items(item_id, text)``."""
     ship(docs.sparkSession)
-    order = items.where("item_id IS NOT NULL").select("item_id", "text").distinct()
+    items = items.where("text IS NOT NULL").select("item_id", "text").distinct()
+    named = items.where("item_id IS NOT NULL")
+    order = named.unionByName(items.where("item_id IS NULL").join(named.select("text"), "text", "left_anti").select("item_id", "text"))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-order.count() // (SHARD_ITEMS * SHARDS_A_PASS)))))
     order = written(order.withColumn("part", part.cast("int")), "items")
     bags = written(order.select("part", "text").mapInArrow(_bags, "part int, n long, terms array<long>"), "bags")
@@ -239,19 +243,23 @@ def _pass(docs: DataFrame, shards: list[Shard], threshold: float) -> DataFrame:
             for shard in spread.value:
                 for d, item, *figures in shard.search(words, doc, batch.num_rows, stride, threshold):
                     best[d, item] = max(best.get((d, item), (-1.0,)), tuple(figures))
-            keys = sorted(best)
+            keys = list(best)
             cols = [batch.column(0).take(pa.array([d for d, _ in keys], pa.int64())), pa.array([i for _, i in keys], pa.int64())]
             cols += [pa.array([best[k][c] for k in keys], pa.float64()) for c in range(3)]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "score", "question_share", "answer_share"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, score double, question_share double, answer_share double")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = "long" if kind in ("int", "bigint") else kind
+    found = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id long, score double, question_share double, answer_share double")
     return found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("score", "question_share", "answer_share")))
 
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that hold a test item."""
-    hit = written(contaminated(docs, items, threshold).select("doc_id").distinct(), "contaminated")
-    return docs.join(few(hit), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text holds a test item; rows and items without an id too."""
+    digest = F.md5("text")
+    hit = contaminated(docs.select(digest.alias("doc_id"), "text"), items, threshold)
+    hit = written(hit.select(F.col("doc_id").alias("_digest")).distinct(), "contaminated")
+    return docs.join(few(hit), digest == F.col("_digest"), "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

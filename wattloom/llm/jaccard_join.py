@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import components, keep_ids, ship, table, written
+from .common import components, few, keep_ids, ship, table, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -187,10 +187,30 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of every component: the one with the smallest doc_id."""
-    found = near_duplicates(docs, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of every component: the one with the smallest doc_id.
+
+    Rows that repeat a doc_id and its text are one document, of which one row stays. A row without doc_id, or
+    whose doc_id has several texts, gets a key of its own from doc_id and text, behind the usual ids.
+    """
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    odd = texts.groupBy("doc_id").agg(F.count("*").alias("c"), (F.min("h") != F.max("h")).alias("several"))
+    odd = written(odd.where("c > 1 OR doc_id IS NULL"), "odd")
+    if odd.isEmpty():
+        found = near_duplicates(docs, percent)
+        gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+    several = written(odd.where("several AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_of")), "several")
+    own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    keyed = docs.join(few(several), F.col("doc_id") == F.col("_of"), "left")
+    keyed = keyed.withColumn("_row", F.when(F.col("doc_id").isNull() | F.col("_of").isNotNull(), own).otherwise(F.col("doc_id")))
+    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), percent)
+    found = written(found.select(F.col("doc_id").alias("_row"), "component_id"), "found")
+    kept = keyed.join(found.where("_row <> component_id").select("_row").distinct(), "_row", "left_anti")
+    again = written(found.groupBy("_row").count().where("count > 1").select("_row"), "again")
+    once = kept.join(few(again), "_row", "left_anti")
+    one = kept.join(few(again), "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(one).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
