@@ -1,30 +1,40 @@
-"""Toxicity by a subsequence string kernel, Nyström landmarks and a linear SVM.
-
-The kernel of two words is the gap-weighted subsequence kernel (Lodhi et al.,
-"Text classification using string kernels", 2002) of length four within six
-letters: every four letters in order that span at most six count
-``DECAY ** gaps``, so an inserted or missing letter leaves most of the common
-subsequences in place. Words are lower-cased, lose everything but letters
-(``i-d.i_o t`` reads as one word, as do single letters in a row) and get marks
-for their start and end. The kernel is normalised by length.
-
-Labels are on texts, whose sentences inherit them. A toxic text holds at least
-one bad word, a clean one none, so the training set is built over words: those
-whose counts by labelled text speak for toxic (a log-likelihood ratio) against
-words of clean texts, common ones and others. Landmarks
-are drawn from both; ``K(landmarks)^-1/2`` maps a word to a short vector and a
-squared-hinge SVM is fitted on those by Newton steps, a bad word's margin in
-proportion to its log odds, altered spellings of the surest words included. Its decision is a sum
-of kernels with landmarks, hence linear in the subsequences of a word, so it is
-folded into one hashed table of subsequence weights: scoring needs no landmark
-at all and gives the same number. A text is scored by its worst words: a
-logistic regression, fitted on labelled texts, of the largest word margin and
-the log counts of words above several margins and of all words.
-
-Defined results: texts without words are scored at the lowest margin and no
+"""Toxicity by a subsequence string kernel, Nyström landmarks and a linear SVM over labelled sentences.
+
+A sentence is split into windows of ``WINDOW`` words, so that an insult is no
+small part of what is compared. The kernel of two windows is the gap-weighted
+subsequence kernel (Lodhi et al., "Text classification using string kernels",
+2002) of length four within six letters: every four letters in order that span
+at most six count ``DECAY ** gaps``, so an inserted or missing letter leaves
+most of the common subsequences in place. Words are lower-cased and lose
+everything but letters (``i-d.i_o t`` reads as one word, as do single letters in
+a row); one mark stands between words and counts as a letter, so subsequences
+reach over words. Subsequences are hashed to ``2 ** TABLE_BITS`` features, and the
+kernel is divided by both windows' lengths in subsequences.
+
+Labels are on texts: every window of a clean text is clean, some of a toxic text
+are toxic. Which ones is learnt along (multiple-instance learning, Andrews et
+al., "Support vector machines for multiple-instance learning", 2003). The first
+guess scores a window by how much more often its subsequences are in other
+toxic texts than in clean ones, counted by Spark over all sampled texts. In every
+round the windows of toxic texts that score above all but ``CLEAN_ABOVE`` of the
+clean ones, and the best one of each text, are the toxic rows, and a
+squared-hinge SVM is fitted by Newton steps to them and the clean rows, in the space that
+``K(landmarks)^-1/2`` maps a window to. Landmarks are drawn from both classes, each by its
+distance from those before. Each row comes along with an altered spelling of itself, in both
+classes. The decision is a sum of kernels with landmarks, hence linear in the
+subsequences, and is folded into one table of their weights: scoring needs no
+landmark and gives the same number. A text's score is a logistic curve, fitted on
+labelled texts, of its margins at some ranks from the top and how many of its windows pass some margins.
+
+Bounded samples: ``SAMPLE_TEXTS`` labelled texts and, of their windows, ``TEXT_ROWS`` a text and ``SAMPLE_ROWS`` a class for the
+SVM, all chosen by hash (within a toxic text by the first guess).
+
+Defined results: null texts and texts without letters are scored at the lowest margin and no
 words; without both classes among the labels every score is the base rate (0 if
-there are none); rows that repeat a doc_id are scored row by row; other columns
-are ignored.
+there are none); a doc_id that repeats among the labels counts once, toxic if any
+of its labels is; rows that repeat a doc_id are scored row by row, and learnt from by one row; a null
+doc_id is scored like any other, is not held out and not learnt from; very long texts are read whole, a
+text at a time beyond a chunk; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,161 +48,235 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import ship, table, written
+from .common import learnable, ship, table, written
 
-#: Labelled texts to learn from; words of each class in the training set (twice as
-#: many clean ones) and landmarks of each; log-likelihood ratio that marks a bad word.
+#: Labelled texts that the curve is fitted on; windows of each class and landmarks of each class for the SVM.
 SAMPLE_TEXTS = 8_000
-TRAIN_WORDS = 2_000
-LANDMARKS = 96
-EVIDENCE = 30.0
+SAMPLE_ROWS = 8_000
+LANDMARKS = 256
+WINDOW = 2
+TEXT_ROWS = 16
+ROUNDS = 3
+RIDGE = 0.2
+#: The share of clean windows above which a window of a toxic text counts as toxic.
+CLEAN_ABOVE = 0.0005
 DECAY = 0.6
 SPAN = 6
-TABLE_BITS = 20
-LOWEST, HIGHEST = -2.0, 3.0
-STEPS = (-0.3, 0.3, 0.9, 1.5, 2.2)
-FEATURES = 2 + len(STEPS)
-
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_STEPS = [(a, b, c) for a, b, c in combinations(range(1, SPAN), 3)]
-_AT = [np.random.RandomState(5 + k).randint(0, 2**63, 256).astype(np.uint64) for k in range(4)]
-
-
-def letter_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case letters of all words end to end, the n + 1 offsets of the words, their text index."""
-    starts, _, doc = tx.words(data, off)
-    keep = np.flatnonzero(_LETTER[data])
-    letters = tx.LOWER[data[keep]]
+TABLE_BITS = 18
+LOWEST, HIGHEST = -3.0, 3.0
+STEPS = (-0.5, 0.0, 0.5, 1.0)
+RANKS = (1, 2, 3, 4, 6, 8)
+FEATURES = 1 + len(RANKS) + len(STEPS)
+
+_LETTER = np.array([chr(c).isalpha() for c in range(0x3000)])
+_SPACE = [9, 10, 11, 12, 13, 32]
+_MARK = 32
+_SHAPES = [(a, b, c, DECAY ** (c - 3)) for a, b, c in combinations(range(1, SPAN), 3)]
+_AT = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_TOP = np.uint64(64 - TABLE_BITS)
+
+
+def windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A stream of all words' letters, each word behind a mark, begin and end in it of every window, and the window's text index.
+
+    A window includes the mark after its last word; a sentence of fewer than WINDOW words is one window.
+    """
+    low = [(t or "").lower() for t in texts.to_pylist()]
+    text = np.frombuffer("".join(low).encode("utf-32-le", "replace"), np.uint32)
+    off = np.append(0, np.cumsum([len(t) for t in low]))
+    starts, ends, doc = tx.spans(off, np.isin(text, _SPACE))
+    keep = np.flatnonzero(_LETTER[np.minimum(text, len(_LETTER) - 1)] | (text >= len(_LETTER)))
     word = np.searchsorted(starts, keep, side="right") - 1
     if not len(word):
-        return letters, np.zeros(1, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32), *(np.zeros(0, np.int64),) * 3
+    breaks = np.append(0, np.cumsum(text == 10))
+    new = np.ones(len(starts), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | np.isin(text[ends[:-1] - 1], [33, 46, 63]) | (breaks[starts[1:]] > breaks[ends[:-1]])
+    sentence = np.cumsum(new)
     first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-    of, size = doc[word[first]], np.diff(np.append(first, len(word)))
-    new = np.ones(len(first), bool)
-    new[1:] = ~((size[1:] == 1) & (size[:-1] == 1) & (of[1:] == of[:-1]))
-    return letters, np.append(first[new], len(word)), of[new]
-
-
-def marked(letters: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The given words between start and end marks, end to end, and the word index of every byte."""
-    size = end - begin + 2
-    at = np.append(0, np.cumsum(size))
-    word = np.repeat(np.arange(len(size)), size)
-    place = np.arange(at[-1]) - at[word] - 1
-    inner = (place >= 0) & (place < (end - begin)[word])
-    out = np.where(place < 0, 94, 36).astype(np.uint8)
-    out[inner] = letters[begin[word[inner]] + place[inner]]
-    return out, word
-
-
-def subsequences(stream: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each shape of four letters: word index, hashed subsequence, weight."""
-    for a, b, c in _STEPS:
-        n = len(stream) - c
-        if n <= 0:
-            continue
-        whole = np.flatnonzero(word[:n] == word[c:])
-        h = _AT[0][stream[whole]] + _AT[1][stream[whole + a]] + _AT[2][stream[whole + b]] + _AT[3][stream[whole + c]]
-        yield word[whole], (tx.mix(h) >> np.uint64(64 - TABLE_BITS)).astype(np.int64), DECAY ** (c - 3)
-
-
-def word_margins(stream: np.ndarray, word: np.ndarray, n: int, weights: np.ndarray, bias: float) -> np.ndarray:
-    total, norm = np.zeros(n), np.zeros(n)
-    for w, h, weight in subsequences(stream, word):
-        total += weight * np.bincount(w, weights[h], n)
-        norm += weight * weight * np.bincount(w, minlength=n)
-    return np.where(norm > 0, bias + total / np.sqrt(np.maximum(norm, 1e-9)), LOWEST)
+    of, sentence, size = doc[word[first]], sentence[word[first]], np.diff(np.append(first, len(word)))
+    head = np.ones(len(first), bool)
+    head[1:] = ~((size[1:] == 1) & (size[:-1] == 1) & (of[1:] == of[:-1]))
+    at, of, sentence = np.append(first[head], len(word)), of[head], sentence[head]
+    n = len(of)
+    place = at + np.arange(n + 1)
+    stream = np.full(len(keep) + n + 1, _MARK, np.uint32)
+    stream[np.arange(len(keep)) + np.repeat(np.arange(1, n + 1), np.diff(at))] = text[keep]
+    opens = np.append(True, sentence[1:] != sentence[:-1])
+    last = np.append(np.flatnonzero(opens)[1:], n) - 1
+    final = np.repeat(last, np.diff(np.append(-1, last)))
+    to = np.arange(n) + WINDOW - 1
+    use = np.flatnonzero((to <= final) | opens)
+    return stream, place[use], place[np.minimum(to, final)[use] + 1] + 1, of[use]
+
+
+def hashed(stream: np.ndarray) -> Iterator[tuple[np.ndarray, int, float]]:
+    """For each shape of subsequence: the feature at every place of the stream where it fits, its reach and its weight."""
+    s = stream.astype(np.uint64)
+    letters = [s * k for k in _AT]
+    for a, b, c, w in _SHAPES:
+        n = max(len(s) - c, 0)
+        h = letters[0][:n] + letters[1][a : a + n]
+        h += letters[2][b : b + n]
+        h += letters[3][c : c + n]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        yield (h >> _TOP).astype(np.int64), c, w
+
+
+def length_norm(size: np.ndarray) -> np.ndarray:
+    """A window's length in weighted subsequences, from its letters and marks."""
+    total = sum(w * w * np.maximum(size - c, 0) for _, _, c, w in _SHAPES)
+    return np.sqrt(np.maximum(total, 1e-9))
+
+
+def margins(stream: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """The SVM's decision for each window, from the folded table."""
+    total = np.zeros(len(begin))
+    for feature, c, w in hashed(stream):
+        sums = np.zeros(len(feature) + 1)
+        np.cumsum(weights[feature], out=sums[1:])
+        total += w * (sums[np.minimum(np.maximum(end - c, begin), len(feature))] - sums[np.minimum(begin, len(feature))])
+    return np.where(end - begin > 3, bias + total / length_norm(end - begin), LOWEST)
 
 
 def text_features(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
-    """The largest word margin, log counts of words above each of STEPS and of all words.
-
-    Every distinct word of the batch is scored once.
-    """
-    data, off = tx.text_bytes(texts)
-    letters, at, doc = letter_words(data, off)
-    n = len(off) - 1
+    """The margins of the windows at RANKS from the top, log counts of windows above each of STEPS and of all windows."""
+    n = len(texts)
+    stream, begin, end, doc = windows(texts)
     out = np.zeros((n, FEATURES))
-    out[:, 0] = LOWEST
+    out[:, : len(RANKS)] = LOWEST
     if len(doc):
-        _, one, which = np.unique(tx.span_hash(tx.prefix_hash(letters), at[:-1], at[1:]), return_index=True, return_inverse=True)
-        stream, word = marked(letters, at[one], at[one + 1])
-        margin = np.clip(word_margins(stream, word, len(one), weights, bias)[which], LOWEST, HIGHEST)
-        np.maximum.at(out[:, 0], doc, margin)
+        margin = np.clip(margins(stream, begin, end, weights, bias), LOWEST, HIGHEST)
+        order = np.lexsort((-margin, doc))
+        first = np.searchsorted(doc, np.arange(n + 1))
+        for k, rank in enumerate(RANKS):
+            has = first[1:] - first[:-1] >= rank
+            out[has, k] = margin[order[first[:-1][has] + rank - 1]]
         for k, step in enumerate(STEPS):
-            out[:, 1 + k] = np.log1p(np.bincount(doc, margin > step, n))
+            out[:, len(RANKS) + k] = np.log1p(np.bincount(doc, margin > step, n))
         out[:, -1] = np.log1p(np.bincount(doc, minlength=n))
     return out
 
 
-def altered(word: str) -> list[str]:
-    """The word with one inner letter doubled, followed by another letter or, from five letters, missing."""
+def altered(row: str) -> str:
+    """The window with one inner letter of every longer word doubled, or missing from five letters on."""
     out = []
-    for k in range(1, len(word) - 1):
-        other = "aeiouxzn"[(len(word) + 3 * k) % 8]
-        out += [word[:k] + word[k] + word[k:], word[: k + 1] + other + word[k + 1 :]]
-        if len(word) > 4:
-            out.append(word[:k] + word[k + 1 :])
-    return out
-
+    for k, word in enumerate(row.split(" ")):
+        n = len(word)
+        at = 1 + (7 * n + 3 * k + ord(word[0])) % (n - 2) if n > 3 else 0
+        out.append(word if n <= 3 else word[:at] + word[at] + word[at:] if (n + ord(word[-1])) % 2 or n < 5 else word[:at] + word[at + 1 :])
+    return " ".join(out)
+
+
+class Rows:
+    """Sparse normalised features of many windows, sorted by row: ``row, column, value``."""
+
+    def __init__(self, rows: list[str]):
+        self.n = len(rows)
+        size = np.array([len(r) for r in rows], np.int64)
+        end = np.cumsum(size)
+        stream, begin = np.frombuffer("".join(rows).encode("utf-32-le"), np.uint32), end - size
+        norm = length_norm(size)
+        row, column, value = [], [], []
+        for feature, c, w in hashed(stream):
+            count = np.maximum(size - c, 0)
+            of = np.repeat(np.arange(self.n), count)
+            place = begin[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            row.append(of)
+            column.append(feature[place])
+            value.append(w / norm[of])
+        row, column, value = (np.concatenate(x) for x in (row, column, value))
+        key = row * (1 << TABLE_BITS) + column
+        cells, which = np.unique(key, return_inverse=True)
+        self.row, self.column, self.value = cells >> TABLE_BITS, cells & ((1 << TABLE_BITS) - 1), np.bincount(which, value, len(cells))
+
+    def spread(self, among: np.ndarray, n: int) -> np.ndarray:
+        """At most ``n`` of the given rows as landmarks, each drawn by how far the rows are from those drawn before (incomplete Cholesky)."""
+        place = np.full(self.n, -1)
+        place[among] = np.arange(len(among))
+        mine = place[self.row] >= 0
+        row, column, value = place[self.row[mine]], self.column[mine], self.value[mine]
+        far = np.bincount(row, value * value, len(among))
+        least, drawn, factor = 1e-6 * far.max(), [], np.zeros((len(among), n))
+        buffer, rng = np.zeros(1 << TABLE_BITS), np.random.default_rng(3)
+        for k in range(min(n, len(among))):
+            if far.max() <= least:
+                break
+            i = int(np.searchsorted(np.cumsum(far), rng.random() * far.sum()))
+            own = row == i
+            buffer[column[own]] = value[own]
+            line = np.bincount(row, buffer[column] * value, len(among)) - factor @ factor[i]
+            buffer[column[own]] = 0
+            factor[:, k] = line / np.sqrt(max(far[i], least))
+            far = np.maximum(far - factor[:, k] ** 2, 0)
+            drawn.append(among[i])
+        return np.array(drawn)
+
+    def kernel(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Kernel of all rows with the rows ``marks``; the features of those and their dense values."""
+        place = np.full(self.n, -1)
+        place[marks] = np.arange(len(marks))
+        mine = place[self.row] >= 0
+        ids = np.unique(self.column[mine])
+        dense = np.zeros((len(ids) + 1, len(marks)), np.float32)
+        at = np.minimum(np.searchsorted(ids, self.column), len(ids) - 1)
+        at[ids[at] != self.column] = len(ids)
+        dense[at[mine], place[self.row[mine]]] = self.value[mine]
+        seen = np.flatnonzero(at < len(ids))
+        out = np.zeros((self.n, len(marks)))
+        for a in range(0, len(seen), 1 << 16):
+            part = seen[a : a + (1 << 16)]
+            row = self.row[part]
+            cut = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            out[row[cut]] += np.add.reduceat(dense[at[part]] * self.value[part, None].astype(np.float32), cut, axis=0)
+        return out, ids, dense[:-1].astype(float)
+
+
+def pick(score: np.ndarray, toxic: np.ndarray, bag: np.ndarray) -> np.ndarray:
+    """The rows of toxic texts that are taken for toxic: above nearly all clean rows, or the best of their text."""
+    chosen = toxic & (score > np.quantile(score[~toxic], 1 - CLEAN_ABOVE))
+    order = np.lexsort((score, bag))
+    best = order[np.append(bag[order][1:] != bag[order][:-1], True)]
+    chosen[best[toxic[best]]] = True
+    return chosen
+
+
+def fit_rows(raw: list[str], toxic: np.ndarray, bag: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, float]:
+    """The folded table of subsequence weights and the bias, from windows, whether their text is toxic, their text and a first score."""
+    n = len(raw)
+    rows = Rows(raw + [altered(r) for r in raw])
+    label = np.tile(toxic, 2)
+    chosen = pick(guess, toxic, bag)
+    marks = np.concatenate([rows.spread(np.flatnonzero(chosen), LANDMARKS), rows.spread(np.flatnonzero(~toxic), LANDMARKS)])
+    kernel, ids, dense = rows.kernel(marks)
+    values, vectors = np.linalg.eigh(kernel[marks])
+    good = values > 1e-6 * values[-1]
+    root = vectors[:, good] / np.sqrt(values[good])
+    z = np.hstack([kernel @ root, np.ones((2 * n, 1))])
+    for _ in range(ROUNDS):
+        use = np.tile(chosen | ~toxic, 2)
+        coef = squared_hinge(z[use], np.where(label[use], 1.0, -1.0))
+        chosen = pick(z[:n] @ coef, toxic, bag)
+    weights = np.zeros(1 << TABLE_BITS)
+    weights[ids] = dense @ (root @ coef[:-1])
+    return weights, float(coef[-1])
 
-def fit_words(bad: list[str], odds: list[float], good: list[str], landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """The folded table of subsequence weights and the bias, from bad words with their log odds and good words.
 
-    A bad word has to reach a margin in proportion to its log odds; altered
-    spellings of the surest ones are learnt along.
-    """
-    need = np.clip(np.array(odds) / 3.5, 0.7, 2.0)
-    clean = set(good)
-    more = [(v, t) for w, t in zip(bad, need, strict=True) if t >= 1.7 for v in altered(w) if v not in clean]
-    bad, need = bad + [v for v, _ in more], np.append(need, [0.9 * t for _, t in more])
-    names = bad + good
-    y = np.append(np.ones(len(bad)), -np.ones(len(good)))
-    need = np.append(need, np.ones(len(good)))
-    raw = [w.encode() for w in names]
-    ends = np.cumsum([len(w) for w in raw])
-    stream, word = marked(np.frombuffer(b"".join(raw), np.uint8), np.append(0, ends[:-1]), ends)
-    parts = list(subsequences(stream, word))
-    w, h = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    v = np.concatenate([np.full(len(p[0]), p[2]) for p in parts])
-    v /= np.sqrt(np.maximum(np.bincount(w, v * v, len(names)), 1e-9))[w]
-    marks = np.unique(np.append(np.arange(min(landmarks, len(bad))), len(bad) + np.arange(min(landmarks, len(good)))))
-    order = np.argsort(w, kind="stable")
-    w, h, v = w[order], h[order], v[order]
-    ids = np.unique(h[np.isin(w, marks)])
-    column = np.minimum(np.searchsorted(ids, h), len(ids) - 1)
-    known = ids[column] == h
-    dense = np.zeros((len(marks), len(ids)))
-    row = np.full(len(names), -1)
-    row[marks] = np.arange(len(marks))
-    mine = row[w] >= 0
-    np.add.at(dense, (row[w[mine]], column[mine]), v[mine])
-    kernel = np.zeros((len(names), len(marks)))
-    for a in range(0, len(names), 256):
-        b = min(len(names), a + 256)
-        sub = np.zeros((b - a, len(ids)))
-        rows = known & (w >= a) & (w < b)
-        np.add.at(sub, (w[rows] - a, column[rows]), v[rows])
-        kernel[a:b] = sub @ dense.T
-    values, vectors = np.linalg.eigh(kernel[marks])
-    good_values = values > 1e-6 * values[-1]
-    root = vectors[:, good_values] / np.sqrt(values[good_values])
-    z = np.hstack([kernel @ root, np.ones((len(names), 1))])
-    cost = np.where(y > 0, len(y) / (2 * max(len(bad), 1)), len(y) / (2 * max(len(good), 1)))
+def squared_hinge(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A linear SVM with squared hinge loss by Newton steps; both classes weigh the same."""
+    cost = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y < 0).sum(), 1)))
     coef = np.zeros(z.shape[1])
-    ridge = np.eye(len(coef)) * 0.5
+    ridge = np.eye(len(coef)) * RIDGE
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (z @ coef) < need
+        active = y * (z @ coef) < 1
         za, ca = z[active], cost[active]
-        new = np.linalg.solve(ridge + (za * ca[:, None]).T @ za, (za * ca[:, None]).T @ (y * need)[active])
+        new = np.linalg.solve(ridge + (za * ca[:, None]).T @ za, (za * ca[:, None]).T @ y[active])
         if np.abs(new - coef).max() < 1e-9:
             break
         coef = new
-    weights = np.zeros(1 << TABLE_BITS)
-    weights[ids] = (root @ coef[:-1]) @ dense
-    return weights, float(coef[-1])
+    return coef
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -210,65 +294,80 @@ def curve(coef: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ coef[:-1] + coef[-1], -30, 30)))
 
 
-def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``word, toxic, n``: in how many texts of the batch each word is, by label."""
+def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts of the task each subsequence is."""
+    counts = np.zeros((2, 1 << TABLE_BITS), np.int64)
     for batch in tx.chunks(batches):
-        data, off = tx.text_bytes(batch.column(0))
-        letters, at, doc = letter_words(data, off)
-        key = tx.span_hash(tx.prefix_hash(letters), at[:-1], at[1:])
-        _, one = np.unique(tx.mix(key + doc.astype(np.uint64)), return_index=True)
-        one = one[at[one + 1] - at[one] > 2]
-        raw, label = letters.tobytes(), np.asarray(batch.column(1))
-        words = pa.array([raw[a:b].decode(errors="ignore") for a, b in zip(at[one], at[one + 1], strict=True)], pa.string())
-        rows = pa.table({"word": words, "toxic": pa.array(label[doc[one]], pa.int32())})
-        rows = rows.group_by(["word", "toxic"]).aggregate([([], "count_all")]).rename_columns(["word", "toxic", "n"])
-        yield from rows.to_batches()
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS):
-    """``(table, bias, coefficients)`` from at most ``sample`` labelled texts, chosen by hash, or the base rate."""
-    usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id")
-    n, n_bad = chosen.agg(F.count("*"), F.sum("toxic")).first()
+        label = np.asarray(batch.column(2))
+        for k in range(batch.num_rows):
+            stream, begin, _, _ = windows(batch.column(1).slice(k, 1))
+            if len(begin):
+                seen = np.zeros(1 << TABLE_BITS, bool)
+                for feature, _, _ in hashed(stream):
+                    seen[feature] = True
+                counts[int(label[k])] += seen
+    used = np.flatnonzero(counts.any(0))
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[1, used]), pa.array(counts[0, used])], names=["feature", "t", "c"])
+
+
+def evidence(t: np.ndarray, c: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Signed squared distance of two shares, in standard errors: how much a subsequence in t toxic and c clean texts speaks for toxic."""
+    t, c = np.maximum(t, 0), np.maximum(c, 0)
+    both = np.clip((t + c) / (n_toxic + n_clean), 1e-9, 1 - 1e-9)
+    z = (t / n_toxic - c / n_clean) / np.sqrt(both * (1 - both) * (1 / n_toxic + 1 / n_clean))
+    return z * np.abs(z)
+
+
+def _window_rows(batches: Iterator[pa.RecordBatch], guess: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``doc_id, toxic, row, guess, h`` of TEXT_ROWS windows of each labelled text: those of the best guess if it is toxic, random ones if it is clean.
+
+    ``guess`` has the weights for clean and for toxic texts, each without the text's own share.
+    """
+    for batch in tx.chunks(batches):
+        for label in (0, 1):
+            part = batch.filter(pa.array(np.asarray(batch.column(2)) == label))
+            stream, begin, end, doc = windows(part.column(1))
+            if not len(doc):
+                continue
+            score = margins(stream, begin, end, guess[label], 0.0)
+            raw, ids = stream.tobytes().decode("utf-32-le"), np.asarray(part.column(0))
+            h = tx.mix(tx.mix(ids[doc].view(np.uint64)) + (begin - begin[np.searchsorted(doc, doc)]).astype(np.uint64))
+            order = np.lexsort((h, -score if label else h, doc))
+            use = order[np.arange(len(doc)) - np.searchsorted(doc, doc) < TEXT_ROWS]
+            rows = pa.array([raw[a:b] for a, b in zip(begin[use], end[use], strict=True)], pa.string())
+            at = pa.array(doc[use])
+            cols = [part.column(0).take(at), part.column(2).take(at), rows, pa.array(score[use]), pa.array(h[use].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "toxic", "row", "guess", "h"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS, rows: int = SAMPLE_ROWS):
+    """``(table, bias, coefficients)`` from labelled texts, or the base rate."""
+    texts = written(learnable(docs, labels, "toxic", sample).select("doc_id", "text", "toxic"), "toxic-texts")
+    n, n_bad = texts.agg(F.count("*"), F.sum("toxic")).first()
     if not n_bad or n_bad == n:
         return float((n_bad or 0) / max(n, 1))
-    words = texts.mapInArrow(_text_words, "word string, toxic int, n long").groupBy("word")
-    words = words.agg(F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 1, 0, n)")).alias("c"))
-    words = written(words, "toxic-words")
-    share = F.lit(n_bad / n)
-    both = F.col("t") + F.col("c")
-    llr = 2 * (F.col("t") * F.log(F.col("t") / (both * share)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (both * (1 - share)))).otherwise(0.0))
-    far = (F.col("t") > 0) & (F.col("t") > 4 * share * both) & (llr >= EVIDENCE) if n_bad * 4 < n else (F.col("t") > 0) & (F.col("c") * 4 < F.col("t")) & (llr >= EVIDENCE)
-    found = words.where(far).orderBy(F.desc("t"), "word").limit(TRAIN_WORDS).collect()
-    bad, odds = [r.word for r in found], [log_odds(r.t, r.c, n_bad, n - n_bad) for r in found]
-    good = words.where("c >= 1").where(F.col("t") <= 2 * share * both)
-    often = good.orderBy(F.desc("c"), "word").limit(TRAIN_WORDS)
-    other = good.orderBy(F.xxhash64("word"), "word").limit(TRAIN_WORDS)
-    good = sorted({r.word for r in often.unionByName(other).collect()}, key=hash_word)
-    if not bad or not good:
+    seen = texts.mapInArrow(_presence, "feature long, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).toPandas()
+    t, c = np.zeros((2, 1 << TABLE_BITS))
+    t[seen["feature"]], c[seen["feature"]] = seen["t"], seen["c"]
+    guess = docs.sparkSession.sparkContext.broadcast(np.stack([evidence(t, c - 1, n_bad, n - n_bad), evidence(t - 1, c, n_bad, n - n_bad)]))
+    every = texts.mapInArrow(lambda it: _window_rows(it, guess.value), "doc_id long, toxic int, row string, guess double, h long")
+    some = [every.where(F.col("toxic") == k).orderBy("h", "doc_id", "row").limit(rows) for k in (1, 0)]
+    got = some[0].unionByName(some[1]).toPandas()
+    toxic = got["toxic"].to_numpy() == 1
+    if toxic.all() or not toxic.any():
         return float(n_bad / n)
-    weights, bias = fit_words(bad, odds, good)
-    spread = docs.sparkSession.sparkContext.broadcast((weights, bias))
+    weights, bias = fit_rows(list(got["row"]), toxic, np.unique(got["doc_id"], return_inverse=True)[1], got["guess"].to_numpy())
+    spread = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches):
-            x = text_features(batch.column(0), *spread.value)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T.copy()), batch.column(1), batch.column(2)], names=[*names, "toxic", "doc_id"])
+            x = text_features(batch.column(1), *spread.value)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T.copy()), batch.column(2), batch.column(0)], names=[*names, "toxic", "doc_id"])
 
     names = [f"x{k}" for k in range(FEATURES)]
     schema = ", ".join([f"{c} double" for c in names] + ["toxic int", "doc_id long"])
     got = texts.mapInArrow(run, schema).toPandas().sort_values(["doc_id", *names])
-    return weights, bias, fit_curve(got[names].to_numpy(float), got["toxic"].to_numpy(float))
-
-
-def log_odds(t: int, c: int, n_bad: int, n_good: int) -> float:
-    return float(np.log((t + 0.5) / (c + 0.5) * (n_good / n_bad)))
-
-
-def hash_word(word: str) -> int:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return int(tx.span_hash(tx.prefix_hash(data), np.array([0]), np.array([len(data)]))[0])
+    return *spread.value, fit_curve(got[names].to_numpy(float), got["toxic"].to_numpy(float))
 
 
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -289,6 +388,6 @@ def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5).eqNullSafe(0)
     out = detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out))
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
