@@ -14,7 +14,10 @@ labelled rows, and a temperature on a part of it that the fit has not seen.
 
 Defined results: null and empty texts pool to zeros and are scored as such;
 without both classes in the labels every score is the base rate (0.5 if there
-are none); rows that repeat a doc_id are scored row by row; other columns are ignored.
+are none); a doc_id that repeats among the labels counts once, with its largest label; rows that
+repeat a doc_id are scored row by row, and learnt from by one row; a null doc_id is scored
+like any other, is not held out and not learnt from; a very long text is read whole, as a chunk of
+its own; equal texts have equal scores; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import ship, table
+from .common import learnable, ship, table
 from .quality_rules import labelled
 
 SAMPLE_ROWS = 8_000
@@ -60,11 +63,11 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return tx.span_hash(tx.prefix_hash(data), starts, ends), doc, len(off) - 1
 
 
-def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS * DIMENSIONS, np.int64)
+def _accumulate(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(buckets * DIMENSIONS, np.int64)
     for batch in tx.chunks(batches):
         h, doc, _ = tokens(batch.column(0))
-        row = (h % BUCKETS).astype(np.int64) * DIMENSIONS
+        row = (h % buckets).astype(np.int64) * DIMENSIONS
         marks = [((h >> np.uint64(20 + 8 * k)) % DIMENSIONS).astype(np.int64) for k in range(MARKS_PER_INDEX)]
         signs = [1 - 2 * ((h >> np.uint64(50 + k)) & np.uint64(1)).astype(np.int64) for k in range(MARKS_PER_INDEX)]
         up, down = [], []
@@ -77,7 +80,7 @@ def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     down.append(cell[~positive])
         for cells, sign in ((up, 1), (down, -1)):
             total += sign * np.bincount(np.concatenate(cells), minlength=len(total))
-    rows = total.reshape(BUCKETS, DIMENSIONS)
+    rows = total.reshape(buckets, DIMENSIONS)
     used = np.flatnonzero(rows.any(1))
     yield pa.RecordBatch.from_arrays(
         [pa.array(used), *(pa.array(np.ascontiguousarray(rows[used, k])) for k in range(DIMENSIONS))],
@@ -85,12 +88,12 @@ def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """BUCKETS x DIMENSIONS unit vectors from all texts of ``docs``: a table of fixed size."""
+def word_vectors(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """``buckets`` x DIMENSIONS unit vectors from all texts of ``docs``: a table of fixed size."""
     schema = ", ".join(["bucket long", *(f"v{k} long" for k in range(DIMENSIONS))])
-    parts = docs.select("text").mapInArrow(_accumulate, schema)
+    parts = docs.select("text").mapInArrow(lambda it: _accumulate(it, buckets), schema)
     rows = parts.groupBy("bucket").agg(*(F.sum(f"v{k}").alias(f"v{k}") for k in range(DIMENSIONS))).toPandas()
-    vectors = np.zeros((BUCKETS, DIMENSIONS))
+    vectors = np.zeros((buckets, DIMENSIONS))
     vectors[rows["bucket"].to_numpy(int)] = rows[[f"v{k}" for k in range(DIMENSIONS)]].to_numpy(float)
     size = np.linalg.norm(vectors, axis=1, keepdims=True)
     return (vectors / np.maximum(size, 1)).astype(np.float32)
@@ -99,18 +102,17 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 def pool(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """One row of DIMENSIONS + 3 features for each text."""
     h, doc, n = tokens(texts)
-    bucket = (h % BUCKETS).astype(np.int64)
+    bucket = (h % len(vectors)).astype(np.int64)
     count = np.bincount(doc, minlength=n)
     safe = np.maximum(count, 1)
     out = np.zeros((n, vectors.shape[1] + 3), np.float32)
-    first = np.searchsorted(doc, np.arange(n + 1))
-    for a in range(0, n, 256):
-        b = min(n, a + 256)
-        part = slice(first[a], first[b])
-        seen = np.bincount((doc[part] - a) * BUCKETS + bucket[part], minlength=(b - a) * BUCKETS)
-        seen = seen.reshape(b - a, BUCKETS).astype(np.float32) / safe[a:b, None]
-        out[a:b, :-3] = seen @ vectors
-        out[a:b, -2] = np.sqrt((seen * seen).sum(1))
+    cells, times = np.unique(doc * len(vectors) + bucket, return_counts=True)
+    of, share = cells // len(vectors), (times / safe[cells // len(vectors)]).astype(np.float32)
+    for a in range(0, len(cells), 1 << 15):
+        part = slice(a, a + (1 << 15))
+        cut = np.flatnonzero(np.append(True, of[part][1:] != of[part][:-1]))
+        out[of[part][cut], :-3] += np.add.reduceat(vectors[cells[part] % len(vectors)] * share[part, None], cut, axis=0)
+    out[:, -2] = np.sqrt(np.bincount(of, share * share, n))
     if len(doc) > 1:
         equal = (bucket[1:] == bucket[:-1]) & (doc[1:] == doc[:-1])
         out[:, -3] = np.bincount(doc[1:][equal], minlength=n) / safe
@@ -160,10 +162,8 @@ def score(net: dict[str, np.ndarray] | float, x: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, spread, sample: int = SAMPLE_ROWS) -> dict[str, np.ndarray] | float:
-    """The network from at most ``sample`` rows of ``labels(doc_id, quality)``, chosen by hash."""
-    chosen = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "quality")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    """The network from at most ``sample`` documents labelled in ``labels(doc_id, quality)``, chosen by hash."""
+    rows = learnable(docs, labels, "quality", sample).select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches):
@@ -180,11 +180,11 @@ def fit(docs: DataFrame, labels: DataFrame, spread, sample: int = SAMPLE_ROWS) -
     return fit_network(np.stack(got["x"].to_numpy()), y)
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, score`` for every row of ``docs(doc_id, text)``."""
+def classify(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``doc_id, score`` for every row of ``docs(doc_id, text)``; ``buckets``: rows of the table of word vectors."""
     ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    spread = context.broadcast(word_vectors(docs))
+    spread = context.broadcast(word_vectors(docs, buckets))
     net = context.broadcast(fit(docs, labels, spread))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,5 +197,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classify(table(spark, sf_dir, "documents"), labelled(spark, sf_dir))
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5).eqNullSafe(0)
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_AT).cast("int").alias("predicted"))

@@ -11,9 +11,12 @@ subtrees. The fitted forest is flattened to node arrays of fixed size
 A base rule comes first: fewer than 50 words, or more than half of the words in
 three-word windows found twice or more, fails a text whatever the trees say.
 
-Defined results: null text has no word and fails the base rule; without any
-labelled row, or only one class, the base rule alone decides; rows that repeat
-a doc_id are scored row by row; other columns are ignored.
+Defined results: null and empty texts have no word and fail the base rule; without any
+labelled row, or only one class, the base rule alone decides; a doc_id that repeats among the
+labels counts once, with its largest label; rows that repeat a doc_id are scored row by row,
+and learnt from by one row; a null doc_id is scored like any other and not learnt from;
+a very long text is read whole, as a chunk of its own; no rows give no rows; equal texts have
+equal scores; other columns are ignored, or passed through when named.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import ship, table
+from .common import free_names, learnable, ship, table
 
 SAMPLE_ROWS = 10_000
 TREES = 60
@@ -157,23 +160,19 @@ def score_trees(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-(forest["start"] + forest["value"][tree, at].sum(0))))
 
 
-_STATS = ", ".join(["doc_id long", *(f"{c} long" for c in BASE), *(f"{c} double" for c in FEATURES)])
+_STATS = ", ".join(["doc_id long, quality int", *(f"{c} long" for c in BASE), *(f"{c} double" for c in FEATURES)])
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tx.chunks(batches):
         base, x = statistics(batch.column(1))
-        cols = [batch.column(0), *(pa.array(c) for c in base.T), *(pa.array(c) for c in x.T)]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *BASE, *FEATURES])
+        cols = [batch.column(0), batch.column(2), *(pa.array(c) for c in base.T), *(pa.array(c) for c in x.T)]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "quality", *BASE, *FEATURES])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> dict[str, np.ndarray] | None:
-    """The forest from at most ``sample`` rows of ``labels(doc_id, quality)``, chosen by hash; None without both classes."""
-    chosen = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "quality")
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = rows.select("doc_id", "text").mapInArrow(_stats, _STATS).join(F.broadcast(chosen), "doc_id")
-    got = rows.select("doc_id", "quality", *FEATURES).toPandas().sort_values(["doc_id", "log_words"])
+    """The forest from at most ``sample`` documents labelled in ``labels(doc_id, quality)``, chosen by hash; None without both classes."""
+    got = learnable(docs, labels, "quality", sample).select("doc_id", "text", "quality").mapInArrow(_stats, _STATS).toPandas().sort_values("doc_id")
     y = got["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None
@@ -183,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> dict[s
 def judge(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with ``columns`` of it passed through, ``BASE``, ``base_failed``, ``score`` and ``kept``.
 
-    A made column whose name is among ``columns`` gets an underscore in front.
+    A made column whose name is among ``columns`` gets underscores in front until it is free.
     """
     ship(docs.sparkSession)
     columns = columns or ["doc_id"]
@@ -201,7 +200,7 @@ def judge(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None)
             cols += [pa.array(failed), pa.array(p), pa.array(~failed & (p >= KEEP_AT))]
             yield pa.RecordBatch.from_arrays(cols, names=[*columns, *made])
 
-    made = ["_" + c if c in columns else c for c in (*BASE, "base_failed", "score", "kept")]
+    made = free_names([*BASE, "base_failed", "score", "kept"], columns)
     types = ["long"] * len(BASE) + ["boolean", "double", "boolean"]
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in columns] + [f"{c} {k}" for c, k in zip(made, types, strict=True)])
     return carried.mapInArrow(run, schema)
