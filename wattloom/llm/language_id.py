@@ -6,11 +6,16 @@ the fewest bytes, lower-cased and behind a line end as in the dictionary; equal
 sizes go to the language with more sample texts, then by name. Level 6 matters:
 lower levels index a dictionary too sparsely to tell short texts apart.
 
+The sample, by hash: at most ``SAMPLE_TEXTS`` texts of a language, short ones too, which share
+``SAMPLE_CHARS`` characters: each gives a piece of at most its share, from a place drawn by hash; so
+a language with few texts gives longer pieces. Texts to be told are coded whole.
+
 Defined results: null texts and texts without a letter are ``und`` with score
-0; a margin under ``MARGIN`` of the best size, or under two bytes, sets
+0, and teach nothing; a margin under ``MARGIN`` of the best size, or under two bytes, sets
 ``rejected`` (the best guess stays in ``lang_pred``); with no labelled rows
-every text is ``und``. Rows that repeat a doc_id get a row each; other columns
-are ignored.
+every text is ``und``. A labelled row without doc_id is learnt from like any other, and
+``held_out`` is false for it; rows that repeat a doc_id get a row each and may be learnt from each; equal texts have equal
+results; no rows give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,23 +31,25 @@ from pyspark.sql import functions as F
 
 from .common import ship, table
 
-#: Labelled texts of a language that make its dictionary, and bytes taken from each.
+#: Labelled texts of a language that make its dictionary, and the characters that they share.
 SAMPLE_TEXTS = 150
-PIECE_BYTES = 400
+SAMPLE_CHARS = 60_000
 LEVEL = 6
 MARGIN = 0.02
 
 _letter = regex.compile(r"\p{L}")
 
 
-def dictionaries(labelled: DataFrame, texts: int = SAMPLE_TEXTS, piece: int = PIECE_BYTES) -> list[tuple[str, bytes]]:
+def dictionaries(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> list[tuple[str, bytes]]:
     """``(language, raw content)`` from at most ``texts`` rows of ``(doc_id, text, lang)`` a language."""
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    usable = labelled.where("lang IS NOT NULL AND length(text) > 40").select("lang", "doc_id", "text")
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "text")
     rows = usable.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= texts)
+    rows = rows.withColumn("piece", F.floor(chars / F.count("*").over(Window.partitionBy("lang"))).cast("int"))  # at most ``texts`` rows a language
+    piece = F.col("piece")
     at = F.greatest(F.lit(1), F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - piece, F.lit(1))).cast("int"))
     found: dict[str, list[str]] = {}
-    for r in rows.select("lang", F.substring("text", at, F.lit(piece)).alias("t"), "nth").orderBy("lang", "nth").collect():
+    for r in rows.select("lang", F.substring("text", at, piece).alias("t"), "nth").orderBy("lang", "nth").collect():
         found.setdefault(r.lang, []).append(r.t.lower())
     return [(lang, "\n".join(parts).encode()) for lang, parts in sorted(found.items(), key=lambda x: (-len(x[1]), x[0]))]
 
@@ -71,7 +78,7 @@ def identify(docs: DataFrame, labelled: DataFrame, level: int = LEVEL) -> DataFr
     """``doc_id, lang_pred, score, rejected`` for every row of ``docs(doc_id, text)``."""
     ship(docs.sparkSession)
     known = dictionaries(labelled)
-    spread = docs.sparkSession.sparkContext.broadcast(known)  # SAMPLE_TEXTS x PIECE_BYTES for each language
+    spread = docs.sparkSession.sparkContext.broadcast(known)  # SAMPLE_CHARS for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, made = [n for n, _ in spread.value], coders(spread.value, level)
@@ -86,6 +93,6 @@ def identify(docs: DataFrame, labelled: DataFrame, level: int = LEVEL) -> DataFr
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 4).eqNullSafe(2)
     out = identify(docs, docs.where(~held_out))
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
