@@ -6,8 +6,9 @@ every other passage and would make each of them a candidate.
 Impacts are divided by the score an item gives itself, so a passage that holds
 a whole item scores 1 whatever the item's length, and one threshold
 serves all items. Passages are windows of two strides of words, one
-stride apart; a stride is no shorter than the longest item, so every
-occurrence of an item lies whole in some passage.
+stride apart; the stride of an item is its own length rounded up to a power of two, ``LEAST_STRIDE`` at
+least, so every occurrence of an item lies whole in some passage, and the passages that it is
+looked for in do not depend on other items.
 
 Search is exact. For all passages of a chunk at once numpy sums the largest
 impact of each term in each block of items; this is the block-max bound, and a
@@ -19,16 +20,18 @@ and of its answer (its last sentence) has to stand in the passage as runs of
 words, so that one changed word never takes all of them. An answer of at most ``SHORT_ANSWER``
 words may be missing if the question is nearly whole.
 
-The index is cut into shards of ``SHARD_ITEMS`` items, which bounds a table, and
-the corpus is read once for ``SHARDS_A_PASS`` shards; the items, never the
-corpus, go through the driver, a pass at a time. Document frequencies and the mean length
+The index is cut by stride and into shards of ``SHARD_ITEMS`` items, which bounds a table, and
+the corpus is read once for ``SHARDS_A_PASS`` shards of one stride; the items, never the
+corpus, go through the driver, a pass at a time, and a pass is released before the next one
+begins. Document frequencies and the mean length
 are those of all items, counted on Spark, so a score does not depend on the cuts.
 
 Defined results: null or empty texts and items under TERM_WORDS words match nothing;
 items with equal text each report; a document reports an item once, with its
 best passage; rows that repeat a doc_id report once, rows without one together with a null
 doc_id; an item without item_id reports a null item_id unless an item with one has its text;
-no items, no rows. ``clean`` judges each row by its own text, whatever its doc_id.
+no items, no rows; very long texts are searched whole, passage by passage. ``clean`` judges each row by its own text,
+whatever its doc_id, and keeps rows of null or empty text.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +93,6 @@ class Shard:
 
     def __init__(self, items: list[tuple[int, str]], whole: tuple[int, float, dict[int, int]] | None = None):
         self.ids, self.question, self.answer, self.short, bags = [], [], [], [], []
-        self.longest = 0
         for item, text in items:
             words = text_terms(text or "")
             if len(words) < TERM_WORDS:
@@ -102,7 +105,6 @@ class Shard:
             self.answer.append(grams(tail if len(tail) else words))
             self.short.append(len(tail) <= SHORT_ANSWER)
             bags.append(np.unique(tx.window_hash(words, TERM_WORDS), return_counts=True))
-            self.longest = max(self.longest, len(words))
         n = len(bags)
         mean = np.mean([c.sum() for _, c in bags]) if bags else 1.0
         self.vocabulary, df = np.unique(np.concatenate([w for w, _ in bags]), return_counts=True) if bags else (np.zeros(0, np.uint64), np.zeros(0))
@@ -198,16 +200,13 @@ class Shard:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of terms and the distinct terms of every item that has any."""
+    """Every item that has a term, with the number of its terms and the distinct ones."""
     for batch in batches:
-        out = []
-        for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            runs = tx.window_hash(text_terms(text or ""), TERM_WORDS)
-            if len(runs):
-                out.append((part, len(runs), np.unique(runs).view(np.int64)))
-        kinds = pa.int32(), pa.int64(), pa.list_(pa.int64())
-        cols = [pa.array([r[c] for r in out], t) for c, t in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "terms"])
+        runs = [tx.window_hash(text_terms(t or ""), TERM_WORDS) for t in batch.column(1).to_pylist()]
+        use = pa.array([k for k, r in enumerate(runs) if len(r)], pa.int64())
+        terms = pa.array([np.unique(r).view(np.int64) for r in runs if len(r)], pa.list_(pa.int64()))
+        n = pa.array([len(r) for r in runs if len(r)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(use), batch.column(1).take(use), n, terms], names=["item_id", "text", "n", "terms"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -216,27 +215,31 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     items = items.where("text IS NOT NULL").select("item_id", "text").distinct()
     named = items.where("item_id IS NOT NULL")
     order = named.unionByName(items.where("item_id IS NULL").join(named.select("text"), "text", "left_anti").select("item_id", "text"))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-order.count() // (SHARD_ITEMS * SHARDS_A_PASS)))))
-    order = written(order.withColumn("part", part.cast("int")), "items")
-    bags = written(order.select("part", "text").mapInArrow(_bags, "part int, n long, terms array<long>"), "bags")
+    bags = order.mapInArrow(_bags, "item_id long, text string, n long, terms array<long>")
+    stride = F.greatest(F.lit(LEAST_STRIDE), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") + (TERM_WORDS - 1)))).cast("int"))
+    bags = written(bags.withColumn("stride", stride).withColumn("h", F.xxhash64("item_id", "text")), "items")
     n, mean = bags.agg(F.count("*"), F.avg("n")).first()
-    each = bags.select("part", F.explode("terms").alias("term"))
-    common = written(each.groupBy("term").agg(F.count("*").alias("df")).where("df > 1"), "terms")
+    common = written(bags.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).where("df > 1"), "terms")
+    shares = []
+    for r in sorted(bags.groupBy("stride").count().collect()):
+        cuts = -(-r["count"] // (SHARD_ITEMS * SHARDS_A_PASS))
+        shares += [(r.stride, bags.where(F.col("stride") == r.stride).where(F.pmod("h", F.lit(cuts)) == k)) for k in range(cuts)]
     passes = []
-    for k in sorted(r.part for r in order.select("part").distinct().collect()) or [0]:
-        rows = [(r.item_id, r.text) for r in order.where(F.col("part") == k).orderBy("item_id", "text").collect()]
-        known = common.join(each.where(F.col("part") == k).select("term"), "term", "left_semi")
+    for width, share in shares:
+        rows = [(r.item_id, r.text) for r in share.select("item_id", "text").orderBy("item_id", "text").collect()]
+        known = common.join(share.select(F.explode("terms").alias("term")), "term", "left_semi")
         whole = n, mean, {r.term: r.df for r in known.collect()}
-        shards = [Shard(rows[a : a + SHARD_ITEMS], whole) for a in range(0, len(rows), SHARD_ITEMS)]
-        passes.append(_pass(docs, [s for s in shards if s.ids], threshold))
-    return reduce(DataFrame.unionByName, passes)
+        spread = docs.sparkSession.sparkContext.broadcast([Shard(rows[a : a + SHARD_ITEMS], whole) for a in range(0, len(rows), SHARD_ITEMS)])
+        found = _pass(docs, spread, width, threshold)
+        if len(shares) > 1:  # this pass is done before the next one's items are collected
+            found = written(found, "leaks")
+            spread.destroy()
+        passes.append(found)
+    return reduce(DataFrame.unionByName, passes or [_pass(docs, docs.sparkSession.sparkContext.broadcast([]), LEAST_STRIDE, threshold)])
 
 
-def _pass(docs: DataFrame, shards: list[Shard], threshold: float) -> DataFrame:
-    spread = docs.sparkSession.sparkContext.broadcast(shards)
-
+def _pass(docs: DataFrame, spread: Broadcast, stride: int, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stride = max([LEAST_STRIDE, *(s.longest for s in spread.value)])
         for batch in tx.chunks(batches):
             words, doc = terms(*tx.text_bytes(batch.column(1)))
             best: dict[tuple[int, int], tuple] = {}
