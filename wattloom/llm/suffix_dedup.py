@@ -24,11 +24,18 @@ owner. A maximal run of windows with one owner is a segment.
    binary search. So one phrase in a third of all documents spreads over tasks.
 4. Covered ranges are merged per document and meet the texts once.
 
+What decides: equal segments (same owner, length and 64-bit digest) repeat each other whole, so
+one of them stands for all; an owner whose segments are all equal is decided by that alone.
+Every other repeat is found by suffix order within a shard, or by 128-bit
+fingerprints and binary search between the shards of a cut owner. Equal segments are not sorted a
+second time, since that would sort every copied text's bytes about five times over (segments overlap).
+
 Defined results: null text is the empty string; texts under LENGTH bytes lose
-nothing and help no other; rows with equal text repeat each other even if doc_id
-is the same (doc_id is expected to determine the text); a row without doc_id
-counts as an occurrence but loses nothing (its bytes, where no other row has them, are
-fetched by a hash of its text); columns other than doc_id and text are ignored.
+nothing and help no other; rows with equal text repeat each other, with equal, different or no
+doc_id; rows of one doc_id with different texts are different documents, and rows without doc_id
+count and lose bytes like others, since a document's key is its doc_id with a hash of its text;
+a text above ``PIECE_BYTES`` is cut into pieces that overlap by a string; no rows give no rows;
+columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import join_few, ship, table, written
+from .common import join_few, leave, scratch, ship, table, written
 
 LENGTH = 200
 GRAM = 64
@@ -109,7 +116,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         doc, start, size, owner, digest, twice = segments(data, off)
         cols = [c.take(pa.array(doc)) for c in ids] + [pa.array(start + base), pa.array(size)]
         cols += [pa.array(owner.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(twice)]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "lost", "start", "size", "owner", "digest", "twice"])
+        yield pa.RecordBatch.from_arrays(cols, names=["key", "h", "start", "size", "owner", "digest", "twice"])
 
 
 def suffix_array(text: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -284,33 +291,35 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def covered_ranges(docs: DataFrame) -> DataFrame:
-    """``doc_id, ranges``: the merged byte ranges to remove, in order, of documents that lose any."""
-    ship(docs.sparkSession)
-    texts = docs.select("doc_id", "text")
-    marked = texts.withColumn("lost", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    found = written(marked.mapInArrow(_segment_rows, "doc_id long, lost long, start long, size long, owner long, digest long, twice boolean"), "segments")
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with a key of two longs for each document: its doc_id (or a hash of the text) and a hash of the text."""
+    return docs.select("doc_id", "text", F.coalesce("doc_id", F.xxhash64(F.lit(1), "text")).alias("key"), F.xxhash64("text").alias("h"))
+
+
+def covered_ranges(texts: DataFrame) -> DataFrame:
+    """``key, h, ranges`` for rows of ``keyed``: the merged byte ranges to remove, in order, of documents that lose any."""
+    with scratch(texts.sparkSession):
+        return leave(_ranges(texts.select("key", "text", "h")), "ranges")
+
+
+def _ranges(texts: DataFrame) -> DataFrame:
+    found = written(texts.mapInArrow(_segment_rows, "key long, h long, start long, size long, owner long, digest long, twice boolean"), "segments")
     owners = found.groupBy("owner").agg(F.count("*").alias("c"), F.max("twice").alias("t")).where("c > 1 OR t").select("owner")
-    found = written(found.join(owners, "owner").select("doc_id", "lost", "start", "size", "owner", "digest", "twice"), "repeated")
+    found = written(found.join(owners, "owner").select("key", "h", "start", "size", "owner", "digest", "twice"), "repeated")
     kinds = found.groupBy("owner", "digest").agg(
-        F.count("*").alias("n"), F.max("size").alias("size"), F.max("twice").alias("twice"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "lost", "start")).alias("at"),
-    )
+        F.count("*").alias("n"), F.max("size").alias("size"), F.max("twice").alias("twice"), F.min(F.struct("key", "h", "start")).alias("at")
+    )
     kinds = written(kinds, "kinds")
     totals = kinds.groupBy("owner").agg(F.count("*").alias("k"), F.sum("size").alias("bytes"), F.max("twice").alias("t"))
     plain = kinds.join(totals.where("k = 1 AND NOT t").select("owner"), "owner").where("n > 1")
     plain = plain.select("owner", "digest", F.lit(0).cast("long").alias("from_byte"), F.col("size").alias("to_byte"))
     mixed = kinds.join(totals.where("k > 1 OR t").select("owner", F.ceil(F.col("bytes") / (SHARD_BYTES // 2)).alias("cut")), "owner")
-    mixed = written(mixed.select("owner", "digest", "n", "size", "cut", "at.doc_id", "at.lost", "at.start"), "mixed")
+    mixed = written(mixed.select("owner", "digest", "n", "size", "cut", "at.key", "at.h", "at.start"), "mixed")
 
     total = mixed.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    wanted = written(mixed.groupBy("doc_id", "lost").agg(F.collect_list(F.struct("owner", "digest", "n", "cut", "start", "size")).alias("wanted")), "wanted")
-    with_text = texts.join(wanted.drop("lost").hint("shuffle_merge"), "doc_id").select("text", "wanted")
-    nameless = wanted.where("lost IS NOT NULL").select("lost", "wanted")
-    if not nameless.isEmpty():
-        once = marked.where("lost IS NOT NULL").groupBy("lost").agg(F.first("text").alias("text"))
-        with_text = with_text.unionByName(once.join(nameless.hint("shuffle_merge"), "lost").select("text", "wanted"))
+    wanted = mixed.groupBy("key", "h").agg(F.collect_list(F.struct("owner", "digest", "n", "cut", "start", "size")).alias("wanted"))
+    with_text = texts.join(written(wanted, "wanted").hint("shuffle_merge"), ["key", "h"]).select("text", "wanted")
     schema = "owner long, digest long, n long, cut long, bytes binary"
     pieces = with_text.mapInArrow(_fetch, schema).dropDuplicates(["owner", "digest"])
     salt = F.pmod(F.xxhash64("digest"), F.col("cut"))
@@ -326,9 +335,9 @@ def covered_ranges(docs: DataFrame) -> DataFrame:
     across = across.select("owner", "digest", F.col("at").alias("from_byte"), (F.col("at") + LENGTH).alias("to_byte"))
 
     ranges = found.join(plain.unionByName(local).unionByName(_islands(across, "owner", "digest")), ["owner", "digest"])
-    ranges = ranges.select("doc_id", (F.col("start") + F.col("from_byte")).alias("from_byte"), (F.col("start") + F.col("to_byte")).alias("to_byte"))
-    merged = _islands(ranges.where("doc_id IS NOT NULL"), "doc_id")
-    return written(merged.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("from_byte", "to_byte"))).alias("ranges")), "ranges")
+    ranges = ranges.select("key", "h", (F.col("start") + F.col("from_byte")).alias("from_byte"), (F.col("start") + F.col("to_byte")).alias("to_byte"))
+    merged = _islands(ranges, "key", "h")
+    return merged.groupBy("key", "h").agg(F.sort_array(F.collect_list(F.struct("from_byte", "to_byte"))).alias("ranges"))
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +362,8 @@ def _islands(ranges: DataFrame, *keys: str) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (binary) for every row of ``docs(doc_id, text)``."""
-    rows = join_few(docs.select("doc_id", "text"), covered_ranges(docs), "doc_id", F.size("ranges") * 2)
+    ship(docs.sparkSession)
+    rows = join_few(keyed(docs), covered_ranges(keyed(docs)), ["key", "h"], F.size("ranges") * 2)
     return rows.select("doc_id", "text", "ranges").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
