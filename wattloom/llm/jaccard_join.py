@@ -23,15 +23,16 @@ Plan, all of it joins and grouped aggregates on Spark:
    They are found in two rounds. First every document of a shingle meets one hub,
    the document with the largest part left; so groups of near copies join with
    a number of pairs linear in the group. Then all pairs whose documents are
-   still in different components meet. Pairs inside one component need no look,
-   since only components are asked for; no cap is set anywhere.
+   still in different components and that both sizes allow meet (``other_pairs``). Pairs inside one component need no look
+   where only components are asked for; ``similar_pairs`` looks at all. No cap is set anywhere.
 5. Each pair's overlap is summed over fragments and compared exactly.
 
 Defined results: null and empty texts have no shingles and link with nothing;
-texts of one to four words are one shingle; equal texts are one class; rows
+texts of one to four words are one shingle; equal texts are one class; very long texts are sets like
+others, a text at a time in a task; rows
 that repeat a doc_id get a row each (the shingle sets of such rows are expected
-to be equal); a null doc_id stands for itself only if no other row has its set.
-Columns other than the key and the text are ignored.
+to be equal; ``keep_one`` gives rows with other texts keys of their own); a null doc_id stands for itself only if no other row has its set;
+no rows give no rows. Columns other than the key and the text are ignored.
 """
 
 from __future__ import annotations
@@ -44,10 +45,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import components, few, keep_ids, ship, table, written
+from .common import components, few, keep_ids, leave, scratch, ship, table, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80
+STEPS_A_DOUBLING = 12
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -116,23 +118,56 @@ def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text, ...)``."""
+    with scratch(docs.sparkSession):
+        sketches, classes = _classes(docs, percent)
+        segments, heads = _prefixes(docs, sketches, classes, percent)
+        hubs = heads.groupBy("shingle").agg(
+            F.max_by(F.struct(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("left").alias("hleft")), F.col("left") / F.col("n")).alias("h"),
+            F.count("*").alias("c"),
+        )
+        star = heads.join(hubs.where("c > 1").select("shingle", "h.*"), "shingle").where("doc <> hub").where(_possible(percent))
+        # the hub is the right side, whose parts are read once a fragment and not once a pair
+        pairs = star.select(F.col("doc").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hn").alias("nb")).distinct()
+        links = written(verify(pairs, segments, percent), "links")
+        cross = other_pairs(heads, components(links), percent)
+        found = components(links.unionByName(verify(cross, segments, percent)))
+        of_class = classes.join(found, classes.rep == found.node, "left")
+        of_class = of_class.select("n", "d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
+        out = sketches.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
+        return leave(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")), "components")
+
+
+def similar_pairs(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all pairs ``(a, b)`` of different sets that link, each set named by its smallest doc_id, and membership ``(doc_id, rep)``.
+
+    Its size is that of the result, which within a group of near copies grows with the square of the group.
+    """
+    with scratch(docs.sparkSession):
+        sketches, classes = _classes(docs, percent)
+        segments, heads = _prefixes(docs, sketches, classes, percent)
+        alone = heads.select(F.col("doc").alias("node"), F.col("doc").alias("component_id")).distinct()
+        pairs = leave(verify(other_pairs(heads, alone, percent), segments, percent), "pairs")
+        members = leave(sketches.join(classes, ["n", "d1", "d2"]).select("doc_id", "rep"), "members")
+    return pairs, members
+
+
+def _classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """A sketch of every row, and the classes of equal sets with their smallest doc_id."""
     ship(docs.sparkSession)
-    texts = docs.select("doc_id", "text")
-    sketches = written(
-        texts.mapInArrow(
-            lambda it: sketch(it, percent), "doc_id long, n long, d1 long, d2 long, need long, first array<long>"
-        ),
-        "sketches",
-    )
-    classes = sketches.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    rows = docs.select("doc_id", "text").mapInArrow(lambda it: sketch(it, percent), "doc_id long, n long, d1 long, d2 long, need long, first array<long>")
+    sketches = written(rows, "sketches")
+    return sketches, sketches.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+
 
+def _prefixes(docs: DataFrame, sketches: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of the candidates: the parts of their sets by fragment, and the shingles at which a link can be met first."""
     first = sketches.where("n > 0").select("doc_id", "need", F.explode("first").alias("shingle"))
     shared = first.groupBy("shingle").count().where("count > 1").select("shingle")
     hopeful = first.join(shared, "shingle").groupBy("doc_id").agg(F.count("*").alias("k"), F.min("need").alias("need"))
     ids = hopeful.where("k >= need").select(F.col("doc_id").alias("rep")).join(classes, "rep", "left_semi")
     ids = written(ids.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
 
-    rows = keep_ids(texts, ids, "doc_id").mapInArrow(all_shingles, "doc long, n long, shingle long")
+    rows = keep_ids(docs.select("doc_id", "text"), ids, "doc_id").mapInArrow(all_shingles, "doc long, n long, shingle long")
     order = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
     half = (F.col("shingle") >= 0).cast("int")
     order = order.select("shingle", (F.floor(F.log2("f")).cast("int") * 2 + half).alias("fragment"))
@@ -146,44 +181,35 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     placed = placed.where(f"m * 100 >= n * {percent}").select("doc", "n", "m", "before", F.posexplode("part").alias("at", "shingle"))
     heads = placed.select("doc", "n", "shingle", (F.col("m") - F.col("before") - F.col("at")).alias("left"))
-    heads = written(heads.where(f"left >= ceil(n * {percent} / 100)"), "heads")
+    return segments, written(heads.where(f"left >= ceil(n * {percent} / 100)"), "heads")
 
-    possible = f"least(left, hleft) >= {_overlap_needed('n', 'hn', percent)}"
-    hubs = heads.groupBy("shingle").agg(
-        F.max_by(F.struct(F.col("doc").alias("hub"), F.col("n").alias("hn"), F.col("left").alias("hleft")), F.col("left") / F.col("n")).alias("h"),
-        F.count("*").alias("c"),
-    )
-    star = heads.join(hubs.where("c > 1").select("shingle", "h.*"), "shingle").where("doc <> hub").where(possible)
-    links = written(verify(_pairs(star), segments, percent), "links")
-
-    joined = written(
-        heads.join(components(links).withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-            "component_id", F.coalesce("component_id", "doc")
-        ),
-        "heads",
-    )
+
+def _possible(percent: int) -> str:
+    return f"least(left, hleft) >= {_overlap_needed('n', 'hn', percent)}"
+
+
+def other_pairs(heads: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b, na, nb)`` of documents in different components ``found(node, component_id)`` that can link.
+
+    What a document has left at a shingle bounds the size of a partner there, to at most ``left * (100 + percent) / percent - n``.
+    So the smaller set of a pair, the leader, must bear a partner of its own size, and the larger one goes
+    only to the size classes, ``STEPS_A_DOUBLING`` to a doubling, of leaders that it bears. Many documents that share a
+    template and cannot link, since too little is left at its shingles, then form no pair at all.
+    """
+    place = lambda n: F.floor(F.log2(n) * STEPS_A_DOUBLING).cast("int")
+    joined = heads.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component_id", F.coalesce("component_id", "doc"))
+    most = F.floor(F.col("left") * (100 + percent) / percent - F.col("n")).cast("long")
+    joined = written(joined.withColumn("most", most), "heads-of-components")
     mixed = joined.groupBy("shingle").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
     rest = joined.join(mixed.where("x <> y").select("shingle"), "shingle", "left_semi")
-    other = rest.toDF(*[{"doc": "hub", "n": "hn", "left": "hleft", "component_id": "hc"}.get(c, c) for c in rest.columns])
-    meet = (F.col("l.shingle") == F.col("r.shingle")) & F.expr(f"doc < hub AND component_id <> hc AND {possible}")
-    cross = rest.alias("l").join(other.alias("r"), meet)
-    links = links.unionByName(verify(_pairs(cross), segments, percent))
-
-    found = components(links)
-    of_class = classes.join(found, classes.rep == found.node, "left")
-    of_class = of_class.select("n", "d1", "d2", F.coalesce("component_id", "rep").alias("component_id"))
-    out = sketches.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _pairs(met: DataFrame) -> DataFrame:
-    swap = F.col("doc") < F.col("hub")
-    return met.select(
-        F.least("doc", "hub").alias("a"),
-        F.greatest("doc", "hub").alias("b"),
-        F.when(swap, F.col("n")).otherwise(F.col("hn")).alias("na"),
-        F.when(swap, F.col("hn")).otherwise(F.col("n")).alias("nb"),
-    ).distinct()
+    leaders = rest.where("most >= n").withColumn("size", place("n"))
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100))
+    upto = F.least("n", "most")
+    larger = rest.where(upto >= least).withColumn("size", F.explode(F.sequence(place(least), place(upto))))
+    larger = larger.toDF(*[{"doc": "hub", "n": "hn", "left": "hleft", "component_id": "hc", "most": "hmost"}.get(c, c) for c in larger.columns])
+    met = leaders.join(larger, ["shingle", "size"])
+    met = met.where("component_id <> hc AND (n < hn OR n = hn AND doc < hub)").where(_possible(percent))
+    return met.select(F.col("doc").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hn").alias("nb")).distinct()
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
