@@ -9,26 +9,23 @@ blank lines only are left alone, so spacing is no repetition.
 Repeats are found by a grouped minimum, with map-side combining, and a join
 back on the hash; a line that a third of all documents share is one group row
 after combining and its occurrences spread over the join by row count (AQE
-splits the hot key). The texts themselves move once, to meet their removed
+splits the hot key, see the test on a line that all documents share). The texts themselves move once, to meet their removed
 positions, and not at all when these are few.
 
 Defined results: null and empty texts and texts under three lines have no
 window and stay as they are; rows that repeat a doc_id count as one occurrence
-and are treated alike; rows without doc_id lose no line; a document whose every
-line goes becomes the empty text, with ``emptied`` true. Columns besides
-doc_id and text pass through untouched.
+and are treated alike (the texts of such rows are expected to be equal); rows without doc_id lose no line; a document
+left without a word (``WORD``) has ``emptied`` true; a very long text is one row of lines at a time in a
+task; no rows give no rows. Columns besides doc_id and text pass through untouched,
+made columns give way to names that are taken.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import join_few, table, written
+from .common import free_names, join_few, table, written
 
 WINDOW = 3
 MADE = ["n_lines", "n_removed", "emptied"]
@@ -53,35 +50,30 @@ def later_windows(found: DataFrame) -> DataFrame:
     return both.where(~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("pos") == F.col("f.pos")))).select("doc_id", "pos")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text, starts = batch.column(1).to_pylist(), batch.column(3).to_pylist()
-        total, gone, emptied = [], [], []
-        for i, (t, at) in enumerate(zip(text, starts, strict=True)):
-            ls = (t or "").split("\n")
-            total.append(len(ls))
-            hit = {p + k for p in at for k in range(size)} if at else ()
-            gone.append(len(hit))
-            if hit:
-                text[i] = "\n".join(x for k, x in enumerate(ls) if k not in hit)
-            emptied.append(bool(hit) and not text[i].strip())
-        cols = [batch.column(0), pa.array(text, pa.string()), batch.column(2), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(emptied, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text", "_rest", *MADE])
+def _without(line: F.Column, starts: F.Column, size: int) -> F.Column:
+    """The lines that no window at ``starts`` covers. Each array is walked once, whatever its length."""
+    gone = F.array_distinct(F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (size - 1)))))
+    left = F.array_except(F.sequence(F.lit(0), F.size(line) - 1), gone)
+    flags = F.concat(F.transform(left, lambda i: F.struct(i.alias("i"), F.lit(True).alias("stays"))), F.transform(gone, lambda i: F.struct(i.alias("i"), F.lit(False).alias("stays"))))
+    both = F.zip_with(line, F.array_sort(flags), lambda x, f: F.struct(x.alias("x"), f["stays"].alias("stays")))
+    return F.transform(F.filter(both, lambda s: s["stays"]), lambda s: s["x"])
 
 
 def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` with shortened texts, plus the columns ``MADE`` (an underscore in front where ``docs`` has the name)."""
+    """``docs`` with shortened texts, plus the columns ``MADE`` (underscores in front where ``docs`` has the name)."""
     found = written(windows(docs.select("doc_id", "text"), size), "line-windows")
     starts = later_windows(found).groupBy("doc_id").agg(F.collect_set("pos").alias("_starts"))
     starts = written(starts, "line-starts")
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
     joined = join_few(packed, starts, "doc_id", F.size("_starts")).select("doc_id", "text", "_rest", "_starts")
-    kinds = [("n_lines", T.LongType()), ("n_removed", T.LongType()), ("emptied", T.BooleanType())]
-    schema = T.StructType([*packed.schema.fields, *(T.StructField(c, k) for c, k in kinds)])
-    out = joined.mapInArrow(lambda it: _cut(it, size), schema)
-    columns = [F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
-    return out.select(*columns, *(F.col(c).alias("_" + c if c in docs.columns else c) for c in MADE))
+    line = F.split(F.coalesce("text", F.lit("")), "\n")
+    joined = joined.withColumn("_n", F.size(line).cast("long")).withColumn("_left", F.when(F.col("_starts").isNotNull(), _without(line, F.col("_starts"), size)))
+    joined = joined.withColumn("_kept", F.array_join("_left", "\n"))
+    changed = F.col("_left").isNotNull()
+    made = [F.col("_n"), F.when(changed, F.col("_n") - F.size("_left")).otherwise(F.lit(0).cast("long")), changed & ~F.coalesce("_kept", F.lit("")).rlike(WORD)]
+    columns = [F.coalesce("_kept", "text").alias("text") if c == "text" else F.col(c) if c == "doc_id" else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
+    return joined.select(*columns, *(m.alias(c) for m, c in zip(made, free_names(MADE, docs.columns), strict=True)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,9 @@ rows, or one size shared by them, spreads over many tasks.
 Defined results: null text has size 0; documents of size 0 get their copies like
 others but take no words; a source without words has target 0 and no copies;
 rows that repeat a doc_id are drawn as separate rows; a null doc_id hashes as
-the empty string; no rows give no rows. Other columns pass through untouched.
+the empty string; a very long text is a row of a large size; no rows give no rows. Other columns
+pass through untouched. Sources are few: their targets are worked out by windows over one row
+for each source.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import free_names, table, written
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -92,10 +94,10 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself: every row of ``docs`` once per copy, with ``copy`` (``_copy`` if taken) counting from 1."""
-    packed = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct(*docs.columns).alias("_row"))
+    """The mix itself: every row of ``docs`` once per copy, with ``copy`` (underscores in front if taken) counting from 1."""
+    packed = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
     drawn = draw(packed, weights, cap, seed).where("copies > 0")
-    name = "_copy" if "copy" in docs.columns else "copy"
+    name = free_names(["copy"], docs.columns)[0]
     return drawn.select("_row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))
 
 
