@@ -52,12 +52,13 @@ from .common import learnable, ship, table, written
 
 #: Labelled texts that the curve is fitted on; windows of each class and landmarks of each class for the SVM.
 SAMPLE_TEXTS = 8_000
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 LANDMARKS = 256
 WINDOW = 2
 TEXT_ROWS = 16
 ROUNDS = 3
 RIDGE = 0.2
+GROUP = 4_096
 #: The share of clean windows above which a window of a toxic text counts as toxic.
 CLEAN_ABOVE = 0.0005
 DECAY = 0.6
@@ -174,22 +175,25 @@ class Rows:
 
     def __init__(self, rows: list[str]):
         self.n = len(rows)
+        parts = [self._cells(rows[a : a + GROUP], a) for a in range(0, len(rows), GROUP)]
+        self.row, self.column, self.value = (np.concatenate(x) for x in zip(*parts, strict=True))
+
+    @staticmethod
+    def _cells(rows: list[str], base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = np.array([len(r) for r in rows], np.int64)
         end = np.cumsum(size)
         stream, begin = np.frombuffer("".join(rows).encode("utf-32-le"), np.uint32), end - size
         norm = length_norm(size)
-        row, column, value = [], [], []
+        key, value = [], []
         for feature, c, w in hashed(stream):
             count = np.maximum(size - c, 0)
-            of = np.repeat(np.arange(self.n), count)
+            of = np.repeat(np.arange(len(rows)), count)
             place = begin[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-            row.append(of)
-            column.append(feature[place])
+            key.append(of * (1 << TABLE_BITS) + feature[place])
             value.append(w / norm[of])
-        row, column, value = (np.concatenate(x) for x in (row, column, value))
-        key = row * (1 << TABLE_BITS) + column
-        cells, which = np.unique(key, return_inverse=True)
-        self.row, self.column, self.value = cells >> TABLE_BITS, cells & ((1 << TABLE_BITS) - 1), np.bincount(which, value, len(cells))
+        cells, which = np.unique(np.concatenate(key), return_inverse=True)
+        value = np.bincount(which, np.concatenate(value), len(cells)).astype(np.float32)
+        return (cells >> TABLE_BITS).astype(np.int32) + np.int32(base), (cells & ((1 << TABLE_BITS) - 1)).astype(np.int32), value
 
     def spread(self, among: np.ndarray, n: int) -> np.ndarray:
         """At most ``n`` of the given rows as landmarks, each drawn by how far the rows are from those drawn before (incomplete Cholesky)."""
@@ -219,18 +223,18 @@ class Rows:
         place[marks] = np.arange(len(marks))
         mine = place[self.row] >= 0
         ids = np.unique(self.column[mine])
-        dense = np.zeros((len(ids) + 1, len(marks)), np.float32)
+        dense = np.zeros((len(ids), len(marks)), np.float32)
         at = np.minimum(np.searchsorted(ids, self.column), len(ids) - 1)
-        at[ids[at] != self.column] = len(ids)
+        known = ids[at] == self.column
         dense[at[mine], place[self.row[mine]]] = self.value[mine]
-        seen = np.flatnonzero(at < len(ids))
-        out = np.zeros((self.n, len(marks)))
-        for a in range(0, len(seen), 1 << 16):
-            part = seen[a : a + (1 << 16)]
+        seen = np.flatnonzero(known)
+        out = np.zeros((self.n, len(marks)), np.float32)
+        for a in range(0, len(seen), GROUP):
+            part = seen[a : a + GROUP]
             row = self.row[part]
             cut = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-            out[row[cut]] += np.add.reduceat(dense[at[part]] * self.value[part, None].astype(np.float32), cut, axis=0)
-        return out, ids, dense[:-1].astype(float)
+            out[row[cut]] += np.add.reduceat(dense[at[part]] * self.value[part, None], cut, axis=0)
+        return out, ids, dense
 
 
 def pick(score: np.ndarray, toxic: np.ndarray, bag: np.ndarray) -> np.ndarray:
@@ -250,30 +254,36 @@ def fit_rows(raw: list[str], toxic: np.ndarray, bag: np.ndarray, guess: np.ndarr
     chosen = pick(guess, toxic, bag)
     marks = np.concatenate([rows.spread(np.flatnonzero(chosen), LANDMARKS), rows.spread(np.flatnonzero(~toxic), LANDMARKS)])
     kernel, ids, dense = rows.kernel(marks)
-    values, vectors = np.linalg.eigh(kernel[marks])
+    values, vectors = np.linalg.eigh(kernel[marks].astype(float))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
-    z = np.hstack([kernel @ root, np.ones((2 * n, 1))])
+    kernel = kernel @ root.astype(np.float32)
     for _ in range(ROUNDS):
-        use = np.tile(chosen | ~toxic, 2)
-        coef = squared_hinge(z[use], np.where(label[use], 1.0, -1.0))
-        chosen = pick(z[:n] @ coef, toxic, bag)
+        use = np.flatnonzero(np.tile(chosen | ~toxic, 2))
+        coef = squared_hinge(kernel, use, np.where(label[use], 1.0, -1.0))
+        chosen = pick(kernel[:n] @ coef[:-1] + coef[-1], toxic, bag)
     weights = np.zeros(1 << TABLE_BITS)
     weights[ids] = dense @ (root @ coef[:-1])
     return weights, float(coef[-1])
 
 
-def squared_hinge(z: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """A linear SVM with squared hinge loss by Newton steps; both classes weigh the same."""
+def squared_hinge(x: np.ndarray, use: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A linear SVM with squared hinge loss by Newton steps on the rows ``use`` of ``x``, the constant last; both classes weigh the same."""
     cost = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y < 0).sum(), 1)))
-    coef = np.zeros(z.shape[1])
+    coef = np.zeros(x.shape[1] + 1)
     ridge = np.eye(len(coef)) * RIDGE
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (z @ coef) < 1
-        za, ca = z[active], cost[active]
-        new = np.linalg.solve(ridge + (za * ca[:, None]).T @ za, (za * ca[:, None]).T @ y[active])
-        if np.abs(new - coef).max() < 1e-9:
+        square, target = ridge.copy(), np.zeros(len(coef))
+        for a in range(0, len(use), GROUP):
+            part = slice(a, a + GROUP)
+            z = np.hstack([x[use[part]].astype(float), np.ones((len(use[part]), 1))])
+            active = y[part] * (z @ coef) < 1
+            z, weighted = z[active], z[active] * cost[part][active, None]
+            square += weighted.T @ z
+            target += weighted.T @ y[part][active]
+        new = np.linalg.solve(square, target)
+        if np.abs(new - coef).max() < 1e-7:
             break
         coef = new
     return coef
