@@ -144,9 +144,15 @@ def test_upsert_gate_and_clear(spark):
     rows.append((*anomaly("2024-01-07", uc="e")[:-1], '{"other":1}'))
     opened = store.open_entities(spark.createDataFrame(rows, ANOMALY), as_of)
     assert {(r.uc, r.entity) for r in opened.collect()} == {("a", "e"), ("c", None)}
-    gone = store.cleared(opened, spark.createDataFrame([("c", None)], "uc string, entity string"))
-    marks = store.clear_markers(gone, as_of).collect()
-    assert [(r.uc, r.payload) for r in marks] == [("a", '{"entity":"e","firing":false}')]
+    fired, none = spark.createDataFrame([("c", None)], "uc string, entity string"), spark.createDataFrame([], "uc string, entity string")
+    ran = lambda *ucs: spark.createDataFrame([(u,) for u in ucs], "uc string")
+    assert {r.uc for r in store.cleared(opened, ran("c"), none).collect()} == {"c"}  # the job of a did not run
+    assert store.cleared(opened, ran("z"), none).isEmpty()
+    gone = store.cleared(opened, ran("a", "c"), fired)
+    marks = store.clear_markers(gone.withColumn("severity", F.lit("warning")), as_of).collect()
+    assert [(r.uc, r.severity, r.score, r.payload) for r in marks] == [("a", "warning", 0.0, '{"entity":"e","firing":false,"clear":true}')]
+    twice = spark.createDataFrame([anomaly("2024-01-05", score=1.0), anomaly("2024-01-05", score=7.0), anomaly("2024-01-05", score=3.0)], ANOMALY)
+    assert [r.score for r in store.upsert(old.limit(0), twice, store.ANOMALY_KEY).collect()] == [7.0]
     assert store.outbox(gone.limit(1), firing=False).first().subject == "anomaly.a.e"
 
 
@@ -186,7 +192,7 @@ def test_pv_documents(spark, tmp_path):
 
 
 def test_weather_arrays(spark):
-    fields = {f: f for f in readings.WEATHER_FIELDS}
+    fields = {f: f for f in readings.WEATHER_METRICS}
     docs = spark.createDataFrame([(["a", "b"], *([1.0, 2.0] for _ in range(4)), [None, 2.0])], "time array<string>, " + ", ".join(f"{f} array<double>" for f in fields))
     assert forecasts.array_rows(docs, "time", fields).count() == 9
     short = docs.withColumn("precipitation", F.array(F.lit(1.0)))
@@ -195,9 +201,9 @@ def test_weather_arrays(spark):
 
 
 def test_weather_documents_and_scans(spark, tmp_path):
-    arrays = ", ".join(f'"{f}": [1.0, 2.0]' for f in readings.WEATHER_FIELDS)
+    arrays = ", ".join(f'"{f}": [1.0, 2.0]' for f in readings.WEATHER_METRICS)
     (tmp_path / "w.json").write_text('{"hourly": {"time": ["2026-01-01T00:00", "2026-01-01T01:00"], ' + arrays + "}}")
-    rows = forecasts.array_rows(readings.weather_documents(spark, str(tmp_path)), "time", {f: f for f in readings.WEATHER_FIELDS})
+    rows = forecasts.array_rows(readings.weather_documents(spark, str(tmp_path)), "time", {f: f for f in readings.WEATHER_METRICS})
     assert rows.count() == 10
     df = spark.createDataFrame([("a", ts("2024-01-01")), ("b", ts("2024-01-02")), ("a", ts("2024-01-03"))], "ga string, ts timestamp")
     low, high = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-03").cast("timestamp")

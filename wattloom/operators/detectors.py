@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +20,12 @@ def zscore_profile(
 
     Buckets without a usable baseline are left out; others stay, with a NULL severity if nothing is wrong.
     """
-    rows = r.profile_history(r.closed(rollup, as_of), keys, value, days, scope)
+    rows, end = r.closed(rollup, as_of), F.broadcast(r.closed(rollup, as_of).agg(F.max("bucket").alias("_end")))  # one row
+    if buckets == "last":
+        rows = rows.join(end, F.col("bucket") > F.col("_end") - F.make_interval(days=F.lit(days + 2))).drop("_end")
+    rows = r.profile_history(rows, keys, value, days, scope)
     if buckets == "last":
-        rows = rows.join(F.broadcast(r.closed(rollup, as_of).agg(F.max("bucket").alias("bucket"))), "bucket")
+        rows = rows.join(end, F.col("bucket") == F.col("_end")).drop("_end")
     rows = rows.where(x.usable(F.col(value)) & x.usable(F.col("mean")) & x.usable(F.col("stddev")))
     z = x.zscore(F.col(value), F.col("mean"), F.col("stddev"), **(knobs or {}))
     return rows.withColumn("zscore", z).withColumn("severity", x.at_least(x.tier(F.abs("zscore"), 3.0, 4.0, 6.0), floor))
@@ -34,22 +39,20 @@ def fan_out(rollups: dict[str, DataFrame], use_cases: DataFrame, as_of: Column,
     table (silenced ones dropped) and are scored by one window. ``scope``
     predicates apply to the wide rows of their source.
     """
-    parts = []
+    cells: dict[str, list[Column]] = {}
     rows = use_cases.where("NOT silenced").select("source", "metric", "keys", "scope").distinct().collect()  # configuration, not data
     for source, metric, keys, scope in rows:
-        if source not in rollups:
-            continue
-        wide = rollups[source].where(F.expr(scope)) if scope else rollups[source]
         names = [F.col(k) for k in keys]
-        parts.append(
-            wide.select(
-                F.lit(source).alias("source"), F.lit(metric).alias("metric"), "bucket", F.col(metric).cast("double").alias("value"),
-                x.metric_label(metric, *names).alias("label"), x.entity(dict(zip(keys, names, strict=True))).alias("entity"),
-            )
+        cell = F.struct(
+            F.lit(metric).alias("metric"), F.col(metric).cast("double").alias("value"),
+            x.metric_label(metric, *names).alias("label"), x.entity(dict(zip(keys, names, strict=True))).alias("entity"),
         )
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+        cells.setdefault(source, []).append(F.when(F.expr(scope), cell) if scope else cell)
+    parts = [
+        rollups[source].select(F.lit(source).alias("source"), "bucket", F.explode(F.array(*made)).alias("m")).where("m IS NOT NULL").select("source", "bucket", "m.*")
+        for source, made in cells.items() if source in rollups
+    ]
+    long = reduce(DataFrame.unionByName, parts)
     scored = r.profile_history(r.closed(long, as_of), ["source", "metric", "label", "entity"], "value")
     if buckets == "last":
         ends = r.closed(long, as_of).groupBy("source").agg(F.max("bucket").alias("bucket"))
@@ -81,7 +84,7 @@ def room_roles() -> dict[str, tuple[Column, str]]:
 def room_readings(rollup: DataFrame, catalog: DataFrame) -> DataFrame:
     """Channel rollups with ``room, floor, name, function`` of the channel; channels without a room go."""
     known = catalog.where("room IS NOT NULL").select("ga", "name", "room", "function")
-    return rollup.join(F.broadcast(known), "ga").withColumn("floor", x.floor_of(F.col("name")))
+    return rollup.join(known, "ga").withColumn("floor", x.floor_of(F.col("name")))
 
 
 def cold_room(rooms: DataFrame, valve_above: float = 50.0, gap: tuple[float, float, float] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -99,7 +102,7 @@ def window_while_heating(
     valve: tuple[float, float, float] = (0.0, 25.0, 50.0),
 ) -> DataFrame:
     """Rows with ``window_open, valve_pct`` whose window is open while heating and it is cold outside (``outdoor_c``)."""
-    rows = rooms.join(F.broadcast(outdoor), join)
+    rows = rooms.join(outdoor, join)
     rows = rows.where(x.usable(F.col("window_open")) & (F.col("window_open") > 0) & x.usable(F.col("valve_pct")) & (F.col("valve_pct") > valve[0]))
     rows = rows.where(x.usable(F.col("outdoor_c")) & (F.col("outdoor_c") < cold_below))
     return rows.withColumn("severity", x.tier(F.col("valve_pct"), *valve, strict_info=True))
@@ -110,18 +113,21 @@ def left_on_streak(
 ) -> DataFrame:
     """Appliances on for hours in a row that are usually off: ``keys, bucket, streak, active_rate, severity``.
 
-    ``rollup`` has ``on_samples, total_samples``. The rate is over the last
-    ``rate_days`` before ``as_of``; always-on loads (rate at or over
+    ``rollup`` has ``on_samples, total_samples``. The rate of a bucket is over the
+    ``rate_days`` up to its end, so history sees nothing of its future; always-on loads (rate at or over
     ``most_active``, or unknown) are skipped. A streak counts 24 hours at most.
     """
     shut = r.closed(rollup, as_of)
+    end = F.broadcast(shut.agg(F.max("bucket").alias("_end")))  # one row
+    if buckets == "last":
+        shut = shut.join(end, F.col("bucket") > F.col("_end") - F.make_interval(days=F.lit(rate_days))).drop("_end")
     on = F.col("on_samples") / F.when(F.col("total_samples") != 0, F.col("total_samples"))
-    recent = shut.where(F.col("bucket") > F.date_trunc("hour", as_of) - F.make_interval(days=F.lit(rate_days)))
-    rate = recent.groupBy(*keys).agg(F.avg((on >= 0.5).cast("double")).alias("active_rate"))
-    rows = s.trailing_streak(shut, keys, x.hour_active(F.col("on_samples"), F.col("total_samples")))
+    recent = Window.partitionBy(*keys).orderBy(F.unix_timestamp("bucket")).rangeBetween(1 - (rate_days * 86_400 - 3_600), 0)
+    rows = shut.withColumn("active_rate", F.avg((on >= 0.5).cast("double")).over(recent))
+    rows = s.trailing_streak(rows, keys, x.hour_active(F.col("on_samples"), F.col("total_samples")))
     if buckets == "last":
-        rows = rows.join(F.broadcast(shut.agg(F.max("bucket").alias("bucket"))), "bucket")
-    rows = rows.withColumn("streak", F.least("streak", F.lit(24))).join(rate, keys).where(F.col("active_rate") < most_active)
+        rows = rows.join(end, F.col("bucket") == F.col("_end")).drop("_end")
+    rows = rows.withColumn("streak", F.least("streak", F.lit(24))).where(F.col("active_rate") < most_active)
     rows = rows.withColumn("severity", x.tier(F.col("streak"), *tiers)).where("severity IS NOT NULL")
     return rows.select(*keys, "bucket", "streak", "active_rate", "severity")
 

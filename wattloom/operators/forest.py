@@ -40,7 +40,7 @@ def scales(matrix: DataFrame, least: int = 200) -> DataFrame:
 
 
 def scaled(matrix: DataFrame, scale: DataFrame) -> DataFrame:
-    rows = matrix.join(F.broadcast(scale), "model")
+    rows = matrix.join(scale, "model")
     z = F.zip_with(F.zip_with("x", "mean", lambda a, b: a - b), "spread", lambda a, b: a / b)
     return rows.select("model", "bucket", z.alias("z"))
 
@@ -49,14 +49,16 @@ def fit(z: DataFrame, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int
     """The node table. ``feature`` -1 is a leaf; the children of node k are 2k+1 and 2k+2.
 
     Every tree draws its rows by hash rank; the rank is pre-filtered by a hash
-    threshold a few times the wanted share, so no full group is sorted.
+    threshold a few times the wanted share, so a row is copied only for trees that may
+    draw it, and no full group is sorted.
     """
     ship(z.sparkSession)
     count = z.groupBy("model").agg(F.count("*").alias("n"))
-    rows = z.join(F.broadcast(count), "model").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    rows = rows.withColumn("h", F.xxhash64("bucket", "z", "tree", F.lit(seed)))
     share = F.least(F.lit(1.0), (subsample * 2.0 + 64) / F.col("n"))
-    rows = rows.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
+    rows = z.join(count, "model").withColumn("share", share).withColumn("row", F.xxhash64("bucket", "z", F.lit(seed)))
+    h = lambda t: F.xxhash64("row", t)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(h(t), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    rows = rows.withColumn("tree", F.explode(drawn)).withColumn("h", h(F.col("tree")))
     rank = F.row_number().over(Window.partitionBy("model", "tree").orderBy("h", "bucket"))
     rows = rows.withColumn("k", rank).where(F.col("k") <= subsample).select("model", "tree", "z")
     return rows.groupBy("model", "tree").applyInPandas(lambda pdf: _grow(pdf, seed), TREE_SCHEMA)
@@ -99,11 +101,11 @@ def score(z: DataFrame, trees: DataFrame, group_rows: int = 100_000) -> DataFram
     number of small ones) go to each group of the model. Models without trees score nothing.
     """
     ship(z.sparkSession)
-    known = z.join(F.broadcast(trees.select("model").distinct()), "model", "left_semi")
+    known = z.join(trees.select("model").distinct(), "model", "left_semi")
     parts = known.groupBy("model").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows)).alias("parts"))
-    rows = z.join(F.broadcast(parts), "model").select("model", "bucket", "z", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")).alias("part"))
+    rows = known.join(parts, "model").select("model", "bucket", "z", F.pmod(F.xxhash64("bucket", "z"), F.col("parts")).alias("part"))
     copies = rows.select(F.col("model").alias("_model"), F.col("part").alias("_part")).distinct()
-    nodes = trees.join(F.broadcast(copies), F.col("model") == F.col("_model"))
+    nodes = trees.join(copies, F.col("model") == F.col("_model"))
     return rows.groupBy("model", "part").cogroup(nodes.groupBy("_model", "_part")).applyInPandas(_score, "model string, bucket timestamp, score double")
 
 
@@ -160,6 +162,6 @@ def load_models(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def classify(scores: DataFrame, limits: DataFrame, as_of: Column, warm_up_days: int = 7, floor: str = "info") -> DataFrame:
     """Adds ``severity``: strictly under the model's thresholds; ``info`` while the model is young."""
-    rows = scores.join(F.broadcast(limits), "model")
+    rows = scores.join(limits, "model")
     found = F.when(F.col("score") < F.col("critical"), "critical").when(F.col("score") < F.col("warning"), "warning")
     return rows.withColumn("severity", x.warm_up(x.at_least(found, floor), F.col("trained_at"), as_of, warm_up_days))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +10,7 @@ from ..operators import energy as e
 from ..operators import forecasts as fc
 from ..operators import forest, seasonal
 from ..operators import series as s
-from ..sources import store
+from ..sources import readings, store
 from ..streaming import rollup as streaming
 from .base import HOURLY, as_of, events, hourly, plain
 
@@ -116,20 +113,31 @@ def m2_standard_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(forest.scaled(rows, forest.scales(rows, 1)).select("bucket", *(F.col("z")[k].alias(f"z{k}") for k in range(6))))
 
 
-def _forest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _matrix(spark, sf_dir)
-    z = forest.scaled(rows, forest.scales(rows, 1))
-    return z, forest.score(z, forest.fit(z)).persist()  # thresholds and severities read it
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = store.work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all rows by a forest that was saved and loaded; the matrix and the scores are read several times."""
+    rows = _kept(_matrix(spark, sf_dir), "matrix")
+    z = _kept(forest.scaled(rows, forest.scales(rows)), "scaled")
+    path = store.work_folder(spark, "models")
+    trees = forest.fit(z)
+    trees.write.partitionBy("model").parquet(f"{path}/trees")
+    trees = spark.read.schema(trees.schema).parquet(f"{path}/trees")
+    return _kept(forest.score(z, trees), "scores")
 
 
 def d6_iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scores = _forest(spark, sf_dir)
+    scores = _forest(spark, sf_dir)
     limits = forest.thresholds(scores, F.lit("2024-01-01").cast("timestamp"))
     return plain(forest.classify(scores, limits, as_of()).select("model", "bucket", "score", "severity"))
 
 
 def d6_iforest_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scores = _forest(spark, sf_dir)
+    scores = _forest(spark, sf_dir)
     return plain(forest.thresholds(scores, as_of()))
 
 
@@ -160,6 +168,27 @@ def u3_forecast_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(both.groupBy("model").agg(F.count("*").alias("n"), F.count("forecast_lower").alias("with_bounds"), F.sum("forecast_value").alias("total")))
 
 
+def s7_forecast_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored forecasts, read back by source, metric, model and time."""
+    path = store.work_folder(spark, "forecasts")
+    store.save(_forecasts(spark, sf_dir), path, "forecast_for")
+    low, high = (F.lit(f"2024-01-31 {h}:00:00").cast("timestamp") for h in ("02", "07"))
+    rows = store.forecasts_of(store.load(spark, path), "events_1h", "activity", "seasonal", low, high)
+    return plain(rows.select("forecast_for", "forecast_value", "forecast_lower", "forecast_upper"))
+
+
+def d13_weather_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents as JSON text, to rows under their stored metric names, to an upsert."""
+    docs = _weather_documents(spark, sf_dir)
+    text = docs.select(F.to_json(F.struct(F.struct(F.transform("time", lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm")).alias("time"), *(F.col("level").alias(f) for f in readings.WEATHER_METRICS)).alias("hourly"))).alias("j"))
+    docs = text.select(F.from_json("j", readings.WEATHER_SCHEMA).alias("d")).select("d.hourly.*")
+    rows = fc.array_rows(docs, "time", readings.WEATHER_METRICS).withColumn("forecast_for", x.to_utc(F.col("forecast_for"), "UTC"))
+    rows = rows.select("forecast_for", F.lit("weather").alias("source"), "metric", F.lit("weather").alias("model"), F.col("value").alias("forecast_value"))
+    old = rows.where(F.col("forecast_for") < F.lit("2024-01-20").cast("timestamp")).withColumn("forecast_value", F.lit(-1.0))
+    new = rows.where(F.col("forecast_for") >= F.lit("2024-01-10").cast("timestamp"))
+    return plain(store.upsert(old, new, store.FORECAST_KEY).select("forecast_for", "metric", "forecast_value"))
+
+
 def h11_warm_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severities by value, models trained at the hour of the reading."""
     rows = events(spark, sf_dir)
@@ -170,14 +199,13 @@ def h11_warm_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r1_streamed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly rollup of the events as a stream: buckets that the watermark has closed."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='wattloom-')}"
-    place = f"{base.rstrip('/')}/wattloom/stream-{uuid.uuid4().hex}"
+    place = store.work_folder(spark, "stream")
     stream = streaming.hourly(streaming.source(spark, sf_dir, "events.parquet", schema), ["event_type"])
     return plain(streaming.drain(stream, f"{place}/out", f"{place}/state"))
 
 
 QUERIES = [
-    k3_forecast_upsert, u3_forecast_families, h11_warm_up, r1_streamed_rollup, d11_energy_balance, d8_pv_underperformance, d12_pv_rows, d12_pv_upsert, a19_a21_pv_figures, d13_weather_rows, m6_decomposition, d7_seasonal_forecast,
+    s7_forecast_scan, d13_weather_upsert, k3_forecast_upsert, u3_forecast_families, h11_warm_up, r1_streamed_rollup, d11_energy_balance, d8_pv_underperformance, d12_pv_rows, d12_pv_upsert, a19_a21_pv_figures, d13_weather_rows, m6_decomposition, d7_seasonal_forecast,
     d7_seasonal_anomaly, m1_training_matrix, m2_standard_scaling, d6_iforest_score, d6_iforest_thresholds, a14_quantiles, a15_residual_spread,
 ]
 
@@ -211,6 +239,11 @@ SQL = {
 SELECT coalesce(n.t, o.t) AS forecast_for, round(coalesce(v, 0), 7) AS forecast_value, round(coalesce(lo, -1), 7) AS forecast_lower, round(coalesce(hi, 1), 7) AS forecast_upper FROM n FULL JOIN o ON n.t = o.t""",
     "u3_forecast_families": f"""WITH {_FORECAST}, h AS (SELECT date_trunc('hour', ts) AS bucket, avg(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1)
 SELECT 'seasonal' AS model, count(*) AS n, count(*) AS with_bounds, round(sum(v), 7) AS total FROM fc HAVING count(*) > 0 UNION ALL SELECT 'pv', count(*), 0, round(sum(v), 7) FROM h""",
+    "s7_forecast_scan": f"""WITH {_FORECAST}, n AS (SELECT make_timestamp(h * 3600000000) AS forecast_for, v, sigma FROM fc)
+SELECT forecast_for, round(v, 7) AS forecast_value, round(v - 3 * sigma, 7) AS forecast_lower, round(v + 3 * sigma, 7) AS forecast_upper FROM n
+WHERE forecast_for BETWEEN TIMESTAMP '2024-01-31 02:00:00' AND TIMESTAMP '2024-01-31 07:00:00'""",
+    "d13_weather_upsert": f"""WITH {HOURLY} SELECT bucket AS forecast_for, metric, round(CASE WHEN bucket >= TIMESTAMP '2024-01-10' THEN avg_value ELSE -1 END, 7) AS forecast_value
+FROM hourly, (VALUES ('temperature'), ('cloud_cover'), ('precipitation'), ('solar_radiation'), ('wind_speed')) m(metric) WHERE event_type = 'click'""",
     "h11_warm_up": """SELECT event_id, CASE WHEN value >= 38 AND TIMESTAMP '2024-01-31' < date_trunc('hour', ts) + INTERVAL 14 DAY THEN 'info'
   WHEN value >= 55 THEN 'critical' WHEN value >= 45 THEN 'warning' WHEN value >= 38 THEN 'info' END AS severity FROM events""",
     "r1_streamed_rollup": f"""WITH {HOURLY} SELECT bucket, event_type, round(avg_value, 7) AS avg_value, round(min_value, 7) AS min_value, total_samples

@@ -291,12 +291,13 @@ SELECT room, floor, day, round(window_open, 7) AS window_open, round(valve_pct,
 FROM rooms JOIN o USING (day) WHERE window_open > 0 AND valve_pct > 0 AND outdoor_c < 48""",
     "w4_trailing_streak": f"WITH {STREAK} SELECT event_type, bucket, streak FROM streaks",
     "d4_left_on_streak": f"""WITH {STREAK}, rates AS (
-  SELECT event_type, avg((on_samples / nullif(total_samples, 0) >= 0.5)::INT::DOUBLE) AS active_rate FROM hourly
-  WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00' AND bucket > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY GROUP BY 1),
+  SELECT event_type, bucket, avg((on_samples / nullif(total_samples, 0) >= 0.5)::INT::DOUBLE) OVER (
+    PARTITION BY event_type ORDER BY bucket RANGE BETWEEN INTERVAL 718 HOUR PRECEDING AND CURRENT ROW) AS active_rate FROM hourly
+  WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00'),
 c AS (SELECT event_type, bucket, least(streak, 24) AS streak FROM streaks WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00')
 SELECT event_type, bucket, streak, round(active_rate, 7) AS active_rate,
   CASE WHEN streak >= 9 THEN 'critical' WHEN streak >= 6 THEN 'warning' ELSE 'info' END AS severity
-FROM c JOIN rates USING (event_type) WHERE active_rate < 0.6 AND streak >= 3""",
+FROM c JOIN rates USING (event_type, bucket) WHERE active_rate < 0.6 AND streak >= 3""",
     "a6_active_rate": f"WITH {HOURLY} SELECT event_type, round(avg((on_samples / total_samples >= 0.5)::INT::DOUBLE), 7) AS active_rate, count(*) AS hours FROM hourly GROUP BY 1",
     "w1_runs": f"WITH {_RUNS} SELECT user_id, start, round(minutes, 3) AS minutes FROM runs",
     "j4_as_of_ambient": f"""WITH {_RUNS}, a AS (SELECT ts, value FROM events WHERE event_type = 'error')

@@ -75,8 +75,21 @@ def w5_open_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def d9_auto_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = history(spark, sf_dir)
     fired = rows.where(F.col("time") >= F.lit("2024-01-30 18:00:00").cast("timestamp")).withColumn("entity", F.get_json_object("payload", "$.entity"))
-    gone = store.cleared(store.open_entities(rows, as_of()), fired)
-    return plain(store.clear_markers(gone, as_of()).select("time", "uc", "metric", "severity", "payload"))
+    ran = rows.where("uc <> 'level_purchase'")  # that job did not run
+    gone = store.cleared(store.open_entities(rows, as_of()), ran, fired)
+    return plain(store.clear_markers(gone, as_of()).select("time", "uc", "metric", "severity", "score", "payload"))
+
+
+def a23_job_counters_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _old_and_new(spark, sf_dir)
+    return store.counters(store.changes(old, new, store.ANOMALY_KEY))
+
+
+def h19_bad_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Use cases of the part table whose source, metric or key is no plain identifier."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    named = part.select("p_partkey", F.lower("p_type").alias("source"), F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(F.lower(F.replace("p_brand", F.lit("#"), F.lit("_")))).alias("metric"), F.array(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("keys"))
+    return usecases.bad_identifiers(named).select("p_partkey", "source", "metric")
 
 
 def k5_insert_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +187,7 @@ def u2_all_detectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    k1_upsert, k2_upsert_some_columns, k5_insert_missing, j9_old_severity, d10_publish_gate, k7_outbox, k8_value_messages, w5_open_entities, d9_auto_clear,
+    k1_upsert, k2_upsert_some_columns, k5_insert_missing, j9_old_severity, d10_publish_gate, k7_outbox, k8_value_messages, w5_open_entities, d9_auto_clear, a23_job_counters_written, h19_bad_identifiers,
     d14_digest_by_severity, d14_digest_by_use_case, d14_digest_top, d14_digest_totals, k9_digest_text, u1_all_slugs, u5_repeated_slugs, h4_entity_slug,
     h6_h18_names, h7_calendar, h8_local_time, h10_energy_expressions, h3_tiers, h13_json, u2_all_detectors,
 ]
@@ -207,9 +220,15 @@ SELECT {_ROW} FROM t""",
     "k8_value_messages": """SELECT 'stats.n_readings' AS subject, '{"value":' || count(*) || '}' AS body FROM events
 UNION ALL SELECT 'stats.n_sites', '{"value":' || count(DISTINCT user_id) || '}' FROM events""",
     "w5_open_entities": f"WITH {_HISTORY} SELECT uc, entity, max(time) AS time, arg_max(severity, time) AS severity FROM history WHERE time > TIMESTAMP '2024-01-24' GROUP BY 1, 2",
-    "d9_auto_clear": f"""WITH {_HISTORY}, o AS (SELECT uc, entity, arg_max(metric, time) AS metric FROM history WHERE time > TIMESTAMP '2024-01-24' GROUP BY 1, 2)
-SELECT TIMESTAMP '2024-01-31' AS time, uc, metric, 'info' AS severity, '{{"entity":"' || entity || '","firing":false}}' AS payload
-FROM o WHERE NOT EXISTS (SELECT 1 FROM history h WHERE h.uc = o.uc AND h.entity = o.entity AND h.time >= TIMESTAMP '2024-01-30 18:00:00')""",
+    "a23_job_counters_written": f"""WITH {_HISTORY}, c AS (SELECT n.uc, n.severity, o.time IS NULL AS fresh, o.severity AS was FROM new n LEFT JOIN old o ON n.time = o.time AND n.metric = o.metric)
+SELECT uc, count(*) AS hits, count(*) FILTER (fresh) AS inserted,
+  count(*) FILTER (fresh OR list_position(['info', 'warning', 'critical'], severity) > list_position(['info', 'warning', 'critical'], was)) AS published FROM c GROUP BY 1""",
+    "h19_bad_identifiers": """WITH p AS (SELECT p_partkey, lower(p_type) AS source, CASE WHEN p_size > 25 THEN p_brand ELSE lower(replace(p_brand, '#', '_')) END AS metric, replace(p_name, ' ', '_') AS k FROM part)
+SELECT p_partkey, source, metric FROM p WHERE NOT (regexp_matches(source, '^[a-z_][a-z0-9_]*$') AND regexp_matches(metric, '^[a-z_][a-z0-9_]*$') AND regexp_matches(k, '^[a-z_][a-z0-9_]*$'))""",
+    "d9_auto_clear": f"""WITH {_HISTORY}, o AS (
+  SELECT uc, entity, arg_max(metric, time) AS metric, arg_max(severity, time) AS severity FROM history WHERE time > TIMESTAMP '2024-01-24' GROUP BY 1, 2)
+SELECT TIMESTAMP '2024-01-31' AS time, uc, metric, severity, 0.0::DOUBLE AS score, '{{"entity":"' || entity || '","firing":false,"clear":true}}' AS payload
+FROM o WHERE uc <> 'level_purchase' AND NOT EXISTS (SELECT 1 FROM history h WHERE h.uc = o.uc AND h.entity = o.entity AND h.time >= TIMESTAMP '2024-01-30 18:00:00')""",
     "d14_digest_by_severity": f"""WITH {_HISTORY} SELECT s.severity, count(*) FILTER ({_WEEK}) AS n_now, count(*) FILTER ({_PRIOR}) AS n_prev
 FROM (VALUES ('info'), ('warning'), ('critical')) s(severity) LEFT JOIN history h ON h.severity = s.severity GROUP BY 1""",
     "d14_digest_by_use_case": f"WITH {_HISTORY} SELECT uc, count(*) AS n FROM history WHERE {_WEEK} GROUP BY 1",
@@ -252,10 +271,11 @@ r AS (SELECT *, coalesce(list_position(['info', 'warning', 'critical'], z), 0)::
 SELECT event_id, z, gap, valve, ratio, median, rank, CASE WHEN rm >= 2 THEN median END AS floored, rr > 0 AND rm > rr AS rose FROM r""",
     "h13_json": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, list_contains(json_keys(props), 'k') AS has_k, list_contains(json_keys(props), 'entity') AS has_entity FROM events",
     "u2_all_detectors": f"""WITH {SCORED}, {STREAK.split(", flags AS", 1)[0].replace("hourly AS", "hourly2 AS")}, flags AS{STREAK.split(", flags AS", 1)[1]}, rates AS (
-  SELECT event_type, avg((on_samples / nullif(total_samples, 0) >= 0.5)::INT::DOUBLE) AS rate FROM hourly
-  WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00' AND bucket > TIMESTAMP '2024-01-31' - INTERVAL 30 DAY GROUP BY 1),
-c AS (SELECT event_type, least(streak, 24) AS streak FROM streaks WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00')
+  SELECT event_type, bucket, avg((on_samples / nullif(total_samples, 0) >= 0.5)::INT::DOUBLE) OVER (
+    PARTITION BY event_type ORDER BY bucket RANGE BETWEEN INTERVAL 718 HOUR PRECEDING AND CURRENT ROW) AS rate FROM hourly
+  WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00'),
+c AS (SELECT event_type, bucket, least(streak, 24) AS streak FROM streaks WHERE bucket <= TIMESTAMP '2024-01-30 23:00:00')
 SELECT 'zscore' AS detector, severity, 'level_' || event_type AS uc, count(*) AS n, count(actual) AS with_actual FROM profile WHERE severity IS NOT NULL GROUP BY 1, 2, 3
 UNION ALL SELECT 'rule', CASE WHEN streak >= 9 THEN 'critical' WHEN streak >= 6 THEN 'warning' ELSE 'info' END, 'appliance_runtime', count(*), 0
-FROM c JOIN rates USING (event_type) WHERE rate < 0.6 AND streak >= 3 GROUP BY 1, 2, 3""",
+FROM c JOIN rates USING (event_type, bucket) WHERE rate < 0.6 AND streak >= 3 GROUP BY 1, 2, 3""",
 }

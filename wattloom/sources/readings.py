@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Field names of outside documents: fixed values.
 PV_SCHEMA = "result struct<watts: map<string,double>, watt_hours_period: map<string,double>, watt_hours_day: map<string,double>>"
-WEATHER_FIELDS = ["temperature_2m", "cloud_cover", "precipitation", "shortwave_radiation", "wind_speed_10m"]
-WEATHER_SCHEMA = "hourly struct<time: array<string>, " + ", ".join(f"{f}: array<double>" for f in WEATHER_FIELDS) + ">"
+#: Field of a weather document and metric it is stored as. Fixed values.
+WEATHER_METRICS = {
+    "temperature_2m": "temperature",
+    "cloud_cover": "cloud_cover",
+    "precipitation": "precipitation",
+    "shortwave_radiation": "solar_radiation",
+    "wind_speed_10m": "wind_speed",
+}
+WEATHER_SCHEMA = "hourly struct<time: array<string>, " + ", ".join(f"{f}: array<double>" for f in WEATHER_METRICS) + ">"
 
 
 def readings(spark: SparkSession, path: str, time: str = "ts") -> DataFrame:

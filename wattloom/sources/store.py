@@ -7,9 +7,10 @@ in the same plan.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import escalated, severity_rank
@@ -22,11 +23,11 @@ def upsert(existing: DataFrame, new: DataFrame, key: list[str], update: list[str
     """``existing`` with ``new`` merged in by key: one full outer join.
 
     On a match the ``update`` columns (all others than the key by default) take
-    the new value, also where it is NULL; the rest stay. Repeated keys in ``new``
-    count once (any of them, so make them unique first if they differ).
+    the new value, also where it is NULL; the rest stay. Of rows of ``new`` that repeat a key,
+    the one with the largest other columns, in their order, counts.
     """
     update = [c for c in existing.columns if c not in key] if update is None else update
-    new = new.dropDuplicates(key).withColumn("_new", F.lit(True))
+    new = one_of_each(new, key).withColumn("_new", F.lit(True))
     old = existing.withColumn("_old", F.lit(True))
     both = old.alias("o").join(new.alias("n"), key, "full_outer")
     cols = [F.col(k) for k in key]
@@ -38,12 +39,26 @@ def upsert(existing: DataFrame, new: DataFrame, key: list[str], update: list[str
     return both.select(*cols).select(*existing.columns)
 
 
+def one_of_each(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One row of each key: the one with the largest other columns, in their order."""
+    others = [c for c in rows.columns if c not in key]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(*key).agg(F.max(F.struct(*others)).alias("_row")).select(*(c if c in key else F.col("_row")[c].alias(c) for c in rows.columns))
+
+
 def changes(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """``new`` with ``inserted`` and ``old_severity``: what an upsert would do to each row."""
     old = existing.select(*key, F.col("severity").alias("old_severity"), F.lit(True).alias("_old"))
     return new.join(old, key, "left").withColumn("inserted", F.col("_old").isNull()).drop("_old")
 
 
+def counters(changed: DataFrame) -> DataFrame:
+    """Per use case: rows written, how many of them were new, and how many are to be published."""
+    rose = F.col("inserted") | escalated(F.col("old_severity"), F.col("severity"))
+    return changed.groupBy("uc").agg(F.count("*").alias("hits"), F.count_if("inserted").alias("inserted"), F.count_if(rose).alias("published"))
+
+
 def to_publish(changed: DataFrame) -> DataFrame:
     """Rows that are new or rose in severity."""
     return changed.where(F.col("inserted") | escalated(F.col("old_severity"), F.col("severity")))
@@ -63,24 +78,28 @@ def open_entities(anomalies: DataFrame, as_of: Column, days: int = 7, latest_by:
     return rows.where(F.coalesce(F.get_json_object("payload", "$.firing"), F.lit("true")) != "false")
 
 
-def cleared(open_rows: DataFrame, fired: DataFrame) -> DataFrame:
-    """Open rows whose (uc, entity) did not fire again; ``fired`` also lists use cases that ran and found nothing, with ``ran``."""
+def cleared(open_rows: DataFrame, ran: DataFrame, fired: DataFrame) -> DataFrame:
+    """Open rows of use cases that ``ran`` (``uc``) whose (uc, entity) is not among ``fired``.
+
+    A use case that is silenced, failed or had no bucket to score is not in ``ran``, and clears nothing.
+    """
     hit = fired.select(F.col("uc").alias("_uc"), F.col("entity").alias("_entity")).distinct()
-    return open_rows.join(hit, (F.col("uc") == F.col("_uc")) & F.col("entity").eqNullSafe(F.col("_entity")), "left_anti")
+    of_run = open_rows.join(ran.select("uc").distinct(), "uc", "left_semi")
+    return of_run.join(hit, (F.col("uc") == F.col("_uc")) & F.col("entity").eqNullSafe(F.col("_entity")), "left_anti")
 
 
 def clear_markers(gone: DataFrame, as_of: Column) -> DataFrame:
-    """A marker row at ``as_of`` for every entity that went quiet."""
-    body = F.to_json(F.struct("entity", F.lit(False).alias("firing")), {"ignoreNullFields": "false"})
+    """A marker row at ``as_of`` for every entity that went quiet: severity as it was, score 0."""
+    body = F.to_json(F.struct("entity", F.lit(False).alias("firing"), F.lit(True).alias("clear")), {"ignoreNullFields": "false"})
+    none = F.lit(None).cast("double")
     return gone.select(
-        as_of.alias("time"), "source", "metric", "detector", F.lit("info").alias("severity"), "uc",
-        *(F.lit(None).cast("double").alias(c) for c in ("actual", "expected", "score")), body.alias("payload"),
+        as_of.alias("time"), "source", "metric", "detector", "severity", "uc", none.alias("actual"), none.alias("expected"), F.lit(0.0).alias("score"), body.alias("payload")
     )
 
 
 def insert_missing(existing: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
     """``existing`` and those ``rows`` whose key it does not have."""
-    fresh = rows.dropDuplicates(key).join(existing.select(*key), key, "left_anti")
+    fresh = one_of_each(rows, key).join(existing.select(*key), key, "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
@@ -108,6 +127,28 @@ def save(table: DataFrame, path: str, time: str) -> None:
     table.withColumn("day", F.to_date(time)).write.partitionBy("day").parquet(step)
     rows = spark.read.schema(table.schema).option("basePath", step).parquet(step).withColumn("day", F.to_date(time))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    remove(spark, step)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that spark.checkpoint.dir names; of our own in local mode where it is unset, an error on a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='wattloom-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/wattloom/{name}-{uuid.uuid4().hex}"
+
+
+def forecasts_of(table: DataFrame, source: str, metric: str, model: str, low: Column, high: Column) -> DataFrame:
+    """Stored forecasts of one source, metric and model in ``[low, high]``; all of it reaches the scan as filters."""
+    return table.where((F.col("source") == source) & (F.col("metric") == metric) & (F.col("model") == model)).where(F.col("forecast_for").between(low, high))
 
 
 def load(spark, path: str) -> DataFrame:

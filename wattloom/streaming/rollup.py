@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..sources import store
 
@@ -33,7 +34,7 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 def upsert_batches(path: str, key: list[str], time: str, score: Callable[[DataFrame], DataFrame], publish: Callable[[DataFrame], None] | None = None):
-    """A ``foreachBatch`` function: score the batch, publish what is new or escalated, merge into the table at ``path``.
+    """A ``foreachBatch`` function: score the batch, merge it into the table at ``path``, then publish what was new or escalated.
 
     Only the days the batch touches are read back and rewritten, so a batch costs
     its own days and not the table. Running a batch again gives the same table.
@@ -45,15 +46,20 @@ def upsert_batches(path: str, key: list[str], time: str, score: Callable[[DataFr
         days = [r[0] for r in new.select(F.to_date(time)).distinct().collect()]
         if days:
             try:
-                old = spark.read.schema(new.schema.add("day", "date")).parquet(path).where(F.col("day").isin(days)).drop("day")
+                old = spark.read.schema(StructType(list(new.schema)).add("day", "date")).parquet(path).where(F.col("day").isin(days)).drop("day")
                 old.limit(1).count()
             except Exception as missing:  # noqa: BLE001  the first batch has no table yet
                 if "PATH_NOT_FOUND" not in str(missing):
                     raise
                 old = new.limit(0)
-            if publish:
-                publish(store.to_publish(store.changes(old, new, key)))
+            news = store.work_folder(spark, "news")
+            if publish:  # what is new is told against the table before the merge
+                rows = store.to_publish(store.changes(old, new, key))
+                rows.write.parquet(news)
             store.save(store.upsert(old, new, key), path, time)
+            if publish:
+                publish(spark.read.schema(rows.schema).parquet(news))
+                store.remove(spark, news)
         new.unpersist()
 
     return run
