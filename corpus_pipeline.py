@@ -2,7 +2,12 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last
 return the columns of ``docs``. ``run`` writes every stage's result as Parquet in
-the shared work folder and hands the reread table to the next one.
+the shared work folder, hands the reread table to the next one and deletes it once
+that one is written.
+
+Defined results: a row of null or empty text fails the quality rules and goes; nulls in other columns, ties and columns with
+clashing names pass; rows that repeat a doc_id and its text leave one row at the join; rows without doc_id are judged by
+their text; an empty table stays empty. The operators state the rest.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm import decontamination, jaccard_join, line_dedup, quality_rules, source_mixing
-from wattloom.llm.common import table, written
+from wattloom.llm.common import drop, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            drop(before)
+        before = docs
     return docs
