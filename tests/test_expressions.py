@@ -270,3 +270,51 @@ def test_forest_finds_an_outlier_and_seasons_follow_a_wave(spark):
         assert abs(r.forecast_value - 10 - 3 * math.sin(k * math.pi / 12)) < 0.5
     short = spark.createDataFrame(wave[:100], "uc string, bucket timestamp, y double")
     assert seasonal.forecast(short, ["uc"]).count() == 0
+
+
+def test_scores_are_those_of_a_walk_down_each_tree(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("m", start + dt.timedelta(hours=k), [float(k * k % 31), float(k % 11)]) for k in range(60)]
+    z = spark.createDataFrame(rows, "model string, bucket timestamp, z array<double>")
+    trees = forest.fit(z, trees=7, subsample=16).cache()
+    nodes = {(r.tree, r.node): r for r in trees.collect()}
+    sizes = [r.size for (_, node), r in nodes.items() if node == 0]
+    norm = float(forest.average_path(sum(sizes) / len(sizes)))
+    for r in forest.score(z, trees, group_rows=13).collect():
+        point = rows[int((r.bucket - start).total_seconds() // 3600)][2]
+        paths = []
+        for tree in range(7):
+            at = 0
+            while (node := nodes[tree, at]).feature >= 0:
+                at = 2 * at + (1 if point[node.feature] < node.cut else 2)
+            paths.append(node.depth + float(forest.average_path(node.size)))
+        assert abs(r.score + 2 ** -(sum(paths) / 7 / norm)) < 1e-9
+
+
+def test_second_training_keeps_the_first_time(spark):
+    scores = spark.createDataFrame([("a", float(k)) for k in range(9)] + [("b", 1.0)], "model string, score double")
+    early, late = (F.lit(f"2024-0{m}-01").cast("timestamp") for m in (1, 2))
+    before = forest.thresholds(scores.where("model = 'a'"), early)
+    got = {r.model: (r.trained_at.month, r.first_trained_at.month) for r in forest.thresholds(scores, late, before).collect()}
+    assert got == {"a": (2, 1), "b": (2, 2)}
+    young = F.lit("2024-02-03").cast("timestamp")
+    low = spark.createDataFrame([("a", -1.0)], "model string, score double")
+    limits = forest.thresholds(scores, late, before)
+    assert forest.classify(low, limits, young).first().severity == "info"
+    assert forest.classify(low, limits, young, since="first_trained_at").first().severity == "critical"
+
+
+def test_look_back_counts_from_the_latest_closed_bucket(spark):
+    hours = [ts(f"2024-01-01 {h:02d}:00:00") for h in (3, 4, 7, 9)]
+    rows = spark.createDataFrame([(h, float(k)) for k, h in enumerate(hours)], "bucket timestamp, v double")
+    as_of = F.lit("2024-01-01 08:30:00").cast("timestamp")
+    last = rollup.look_back(rows, as_of, 4).collect()
+    assert {(r.bucket.hour, r.v) for r in last} == {(7, 1.0), (7, 2.0)}
+    every = rollup.look_back(rows, as_of, 2, "all").collect()
+    assert {(r.bucket.hour, r.v) for r in every} == {(3, 0.0), (4, 0.0), (4, 1.0), (5, 1.0), (7, 2.0)}
+
+
+def test_digest_of_no_anomalies(spark):
+    none = spark.createDataFrame([], "time timestamp, source string, metric string, detector string, severity string, uc string, actual double, expected double, score double, payload string")
+    text = digest.text(none, F.lit("2024-01-31").cast("timestamp")).first().text
+    assert "**Total this week: 0** (→ 0 vs prior week, 0)" in text and "| critical | 0 |" in text

@@ -53,7 +53,7 @@ def fan_out(rollups: dict[str, DataFrame], use_cases: DataFrame, as_of: Column,
         for source, made in cells.items() if source in rollups
     ]
     long = reduce(DataFrame.unionByName, parts)
-    scored = r.profile_history(r.closed(long, as_of), ["source", "metric", "label", "entity"], "value")
+    scored = r.profile_history(r.closed(long, as_of), ["source", "metric", "label"], "value")  # the entity goes with the label, and is NULL without keys
     if buckets == "last":
         ends = r.closed(long, as_of).groupBy("source").agg(F.max("bucket").alias("bucket"))
         scored = scored.join(F.broadcast(ends), ["source", "bucket"])

@@ -138,13 +138,20 @@ def _paths(t: dict[str, np.ndarray], data: np.ndarray) -> np.ndarray:
         at = np.where(f < 0, at, 2 * at + 1 + right)
 
 
-def thresholds(scores: DataFrame, trained_at: Column) -> DataFrame:
-    """``model, warning, critical, n_train, trained_at`` from the scores of the training rows."""
-    return scores.groupBy("model").agg(
+def thresholds(scores: DataFrame, trained_at: Column, before: DataFrame | None = None) -> DataFrame:
+    """``model, warning, critical, n_train, trained_at, first_trained_at`` from the scores of the training rows.
+
+    A model that is among the thresholds of ``before`` keeps its first training.
+    """
+    rows = scores.groupBy("model").agg(
         F.percentile("score", F.lit(WARNING_AT)).alias("warning"),
         F.percentile("score", F.lit(CRITICAL_AT)).alias("critical"),
         F.count("*").alias("n_train"),
     ).withColumn("trained_at", trained_at)
+    if before is None:
+        return rows.withColumn("first_trained_at", trained_at)
+    rows = rows.join(before.select("model", "first_trained_at"), "model", "left")
+    return rows.withColumn("first_trained_at", F.coalesce("first_trained_at", "trained_at"))
 
 
 def save_models(trees: DataFrame, limits: DataFrame, path: str) -> None:
@@ -155,13 +162,16 @@ def save_models(trees: DataFrame, limits: DataFrame, path: str) -> None:
 
 def load_models(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``trees, thresholds``. Rows of models that are not there score nothing, as both are joined inner."""
-    kinds = TREE_SCHEMA, "model string, warning double, critical double, n_train long, trained_at timestamp"
+    kinds = TREE_SCHEMA, "model string, warning double, critical double, n_train long, trained_at timestamp, first_trained_at timestamp"
     trees, limits = (spark.read.schema(k).parquet(f"{path}/{n}") for k, n in zip(kinds, ("trees", "thresholds"), strict=True))
     return trees, limits
 
 
-def classify(scores: DataFrame, limits: DataFrame, as_of: Column, warm_up_days: int = 7, floor: str = "info") -> DataFrame:
-    """Adds ``severity``: strictly under the model's thresholds; ``info`` while the model is young."""
+def classify(scores: DataFrame, limits: DataFrame, as_of: Column, warm_up_days: int = 7, floor: str = "info", since: str = "trained_at") -> DataFrame:
+    """Adds ``severity``: strictly under the model's thresholds; ``info`` while the model is young.
+
+    ``since``: ``trained_at``, or ``first_trained_at`` for a warm-up that a new training does not start again.
+    """
     rows = scores.join(limits, "model")
     found = F.when(F.col("score") < F.col("critical"), "critical").when(F.col("score") < F.col("warning"), "warning")
-    return rows.withColumn("severity", x.warm_up(x.at_least(found, floor), F.col("trained_at"), as_of, warm_up_days))
+    return rows.withColumn("severity", x.warm_up(x.at_least(found, floor), F.col(since), as_of, warm_up_days))

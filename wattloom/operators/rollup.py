@@ -25,6 +25,21 @@ def last_bucket(rollup: DataFrame, as_of: Column) -> DataFrame:
     return shut.join(F.broadcast(shut.agg(F.max("bucket").alias("bucket"))), "bucket")
 
 
+def look_back(rollup: DataFrame, as_of: Column, hours: int, buckets: str = "last") -> DataFrame:
+    """Rows of the ``hours`` buckets up to and with ``bucket``: of the latest closed one, or of ``all`` closed ones.
+
+    In history mode a row is copied to each of the ``hours`` buckets that see it.
+    """
+    shut = closed(rollup, as_of)
+    end = F.broadcast(shut.agg(F.max("bucket").alias("_end")))  # one row
+    if buckets == "last":
+        rows = shut.join(end, F.col("bucket") > F.col("_end") - F.make_interval(hours=F.lit(hours)))
+        return rows.withColumn("bucket", F.col("_end")).drop("_end")
+    later = F.transform(F.sequence(F.lit(0), F.lit(hours - 1)), lambda k: F.col("bucket") + F.make_interval(hours=k))
+    rows = shut.withColumn("bucket", F.explode(later))
+    return rows.join(end, F.col("bucket") <= F.col("_end")).drop("_end")
+
+
 def calendar(df: DataFrame, bucket: str = "bucket") -> DataFrame:
     """Adds ``day, hour_of_day, weekday`` (Monday is 1)."""
     return df.withColumns(
@@ -79,3 +94,14 @@ def profile_history(rollup: DataFrame, keys: list[str], value: str = "avg_value"
     return out.withColumns(
         {"n": F.col("_n"), "mean": F.col("_c") + F.col("_s") / F.col("_n"), "stddev": F.when(F.col("_n") > 1, F.sqrt(m2 / (F.col("_n") - 1)))}
     ).drop("_c", "_n", "_s", "_q")
+
+
+def from_states(rows: DataFrame, states: DataFrame, keys: list[str], days: int = 60) -> DataFrame:
+    """Rows of one bucket with the merged ``n, mean, stddev`` of stored states (``on_day`` and as ``baseline``) of the days before.
+
+    A row meets the states of its own key, hour and weekday in the look-back: one a week. Rows without any go.
+    """
+    rows = calendar(rows)
+    past = F.col("on_day").between(F.date_sub("day", days - 1), F.date_sub("day", 1))
+    met = rows.select("bucket", "day", "hour_of_day", "weekday", *keys).join(states, ["hour_of_day", "weekday", *keys]).where(past)
+    return rows.join(merge(met, ["bucket", *keys]), ["bucket", *keys])

@@ -12,7 +12,7 @@ from ..operators import forest, seasonal
 from ..operators import series as s
 from ..sources import readings, store
 from ..streaming import rollup as streaming
-from .base import HOURLY, as_of, events, hourly, plain
+from .base import AS_OF_TEXT, HOURLY, as_of, events, hourly, plain
 
 BUCKET_END = "2024-01-30 23:00:00"
 
@@ -119,26 +119,32 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all rows by a forest that was saved and loaded; the matrix and the scores are read several times."""
+def _trained(spark: SparkSession, sf_dir: str, *times: str) -> tuple[DataFrame, DataFrame]:
+    """Scores of all rows and the stored thresholds, after a training at each of ``times``: models are saved, loaded and scored with."""
     rows = _kept(_matrix(spark, sf_dir), "matrix")
     z = _kept(forest.scaled(rows, forest.scales(rows)), "scaled")
-    path = store.work_folder(spark, "models")
-    trees = forest.fit(z)
-    trees.write.partitionBy("model").parquet(f"{path}/trees")
-    trees = spark.read.schema(trees.schema).parquet(f"{path}/trees")
-    return _kept(forest.score(z, trees), "scores")
+    scores = limits = None
+    for at in times:
+        path = store.work_folder(spark, "models")
+        trees = _kept(forest.fit(z), "trees")
+        scores = _kept(forest.score(z, trees), "scores")
+        forest.save_models(trees, forest.thresholds(scores, F.lit(at).cast("timestamp"), limits), path)
+        trees, limits = forest.load_models(spark, path)
+    return forest.score(z, trees), limits
 
 
 def d6_iforest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = _forest(spark, sf_dir)
-    limits = forest.thresholds(scores, F.lit("2024-01-01").cast("timestamp"))
-    return plain(forest.classify(scores, limits, as_of()).select("model", "bucket", "score", "severity"))
+    return plain(forest.classify(*_trained(spark, sf_dir, "2024-01-01"), as_of()).select("model", "bucket", "score", "severity"))
 
 
 def d6_iforest_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = _forest(spark, sf_dir)
-    return plain(forest.thresholds(scores, as_of()))
+    return plain(_trained(spark, sf_dir, AS_OF_TEXT)[1])
+
+
+def k6_model_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is stored of a model that was trained twice: its rows, the last training and the first."""
+    limits = _trained(spark, sf_dir, "2024-01-24", AS_OF_TEXT)[1]
+    return plain(limits.select("model", "n_train", "trained_at", "first_trained_at"))
 
 
 def a14_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +212,7 @@ def r1_streamed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     s7_forecast_scan, d13_weather_upsert, k3_forecast_upsert, u3_forecast_families, h11_warm_up, r1_streamed_rollup, d11_energy_balance, d8_pv_underperformance, d12_pv_rows, d12_pv_upsert, a19_a21_pv_figures, d13_weather_rows, m6_decomposition, d7_seasonal_forecast,
-    d7_seasonal_anomaly, m1_training_matrix, m2_standard_scaling, d6_iforest_score, d6_iforest_thresholds, a14_quantiles, a15_residual_spread,
+    d7_seasonal_anomaly, m1_training_matrix, m2_standard_scaling, d6_iforest_score, d6_iforest_thresholds, k6_model_register, a14_quantiles, a15_residual_spread,
 ]
 
 _PIVOT = (
@@ -284,6 +290,8 @@ s AS (SELECT bucket, y, v, abs(y - v) / sigma AS score FROM a JOIN fc ON bucket
 SELECT bucket, y, round(v, 7) AS forecast_value, round(score, 7) AS score, CASE WHEN score >= 2.5 THEN 'critical' WHEN score >= 1.5 THEN 'warning' WHEN score >= 1 THEN 'info' END AS severity FROM s""",
     "m1_training_matrix": f"WITH {_PIVOT} SELECT bucket, {', '.join(f'round(x{k}, 7) AS x{k}' for k in range(6))} FROM m",
     "m2_standard_scaling": f"WITH {_PIVOT} SELECT bucket, {', '.join(f'round((x{k} - avg(x{k}) OVER ()) / coalesce(nullif(stddev_pop(x{k}) OVER (), 0), 1), 7) AS z{k}' for k in range(6))} FROM m",
+    "k6_model_register": f"""WITH {_PIVOT} SELECT 'activity_iforest' AS model, count(*) AS n_train, TIMESTAMP '2024-01-31' AS trained_at, TIMESTAMP '2024-01-24' AS first_trained_at
+FROM m HAVING count(*) >= 200""",
     "a14_quantiles": "SELECT event_type, round(quantile_cont(value, 0.005), 7) AS warning, round(quantile_cont(value, 0.001), 7) AS critical FROM events GROUP BY 1",
     "a15_residual_spread": f"WITH {_DECOMPOSED} SELECT 'activity' AS uc, round(stddev_samp(residual), 7) AS sigma, count(*) AS n, min(bucket) AS first_bucket FROM parts",
 }

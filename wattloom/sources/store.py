@@ -151,5 +151,11 @@ def forecasts_of(table: DataFrame, source: str, metric: str, model: str, low: Co
     return table.where((F.col("source") == source) & (F.col("metric") == metric) & (F.col("model") == model)).where(F.col("forecast_for").between(low, high))
 
 
-def load(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("day")
+def load(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """A saved table; only the folders of the days from ``first`` to ``last`` are read."""
+    rows = spark.read.parquet(path)
+    if first is not None:
+        rows = rows.where(F.col("day") >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.where(F.col("day") <= F.lit(last).cast("date"))
+    return rows.drop("day")
