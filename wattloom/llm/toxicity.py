@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import learnable, ship, table, written
+from .common import learnable, scratch, ship, table, written
 
 #: Labelled texts that the curve is fitted on; windows of each class and landmarks of each class for the SVM.
 SAMPLE_TEXTS = 8_000
@@ -59,6 +59,8 @@ TEXT_ROWS = 16
 ROUNDS = 3
 RIDGE = 0.2
 GROUP = 4_096
+#: Features that meet the landmarks at a time: their values fit the processor's cache.
+CELLS = 256
 #: The share of clean windows above which a window of a toxic text counts as toxic.
 CLEAN_ABOVE = 0.0005
 DECAY = 0.6
@@ -229,8 +231,8 @@ class Rows:
         dense[at[mine], place[self.row[mine]]] = self.value[mine]
         seen = np.flatnonzero(known)
         out = np.zeros((self.n, len(marks)), np.float32)
-        for a in range(0, len(seen), GROUP):
-            part = seen[a : a + GROUP]
+        for a in range(0, len(seen), CELLS):
+            part = seen[a : a + CELLS]
             row = self.row[part]
             cut = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
             out[row[cut]] += np.add.reduceat(dense[at[part]] * self.value[part, None], cut, axis=0)
@@ -360,7 +362,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS, rows: in
     t, c = np.zeros((2, 1 << TABLE_BITS))
     t[seen["feature"]], c[seen["feature"]] = seen["t"], seen["c"]
     guess = docs.sparkSession.sparkContext.broadcast(np.stack([evidence(t, c - 1, n_bad, n - n_bad), evidence(t - 1, c, n_bad, n - n_bad)]))
-    every = texts.mapInArrow(lambda it: _window_rows(it, guess.value), "doc_id long, toxic int, row string, guess double, h long")
+    every = written(texts.mapInArrow(lambda it: _window_rows(it, guess.value), "doc_id long, toxic int, row string, guess double, h long"), "toxic-windows")
     some = [every.where(F.col("toxic") == k).orderBy("h", "doc_id", "row").limit(rows) for k in (1, 0)]
     got = some[0].unionByName(some[1]).toPandas()
     toxic = got["toxic"].to_numpy() == 1
@@ -383,7 +385,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS, rows: in
 def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score`` for every row of ``docs(doc_id, text)``."""
     ship(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    with scratch(docs.sparkSession):
+        model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches):
