@@ -16,6 +16,7 @@ from . import (
     quality_rules,
     source_mixing,
     suffix_dedup,
+    token_counts,
     toxicity,
 )
 
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": source_mixing.query,
         "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
+        "op13_token_counts": token_counts.query,
     }
 
 
