@@ -12,6 +12,7 @@ from . import (
     language_id,
     license_scan,
     line_dedup,
+    period_runs,
     quality_classifier,
     quality_rules,
     source_mixing,
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": source_mixing.query,
         "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
+        "op12_period_runs": period_runs.query,
         "op13_token_counts": token_counts.query,
     }
 
