@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    conversations,
     decontamination,
     jaccard_join,
     language_id,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": source_mixing.query,
         "op9_quality_classifier": quality_classifier.query,
         "op10_line_dedup": line_dedup.query,
+        "op11_conversation_repair": conversations.query,
         "op12_period_runs": period_runs.query,
         "op13_token_counts": token_counts.query,
     }
