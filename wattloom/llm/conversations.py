@@ -313,3 +313,56 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+#: The same by a recursion over the rows of all conversations: the best (cost, audit, text) of each state, row by row.
+ORACLE = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+fault AS (
+  SELECT g.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS f FROM given g, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM fault WHERE f <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS seen FROM damaged),
+marked AS (
+  SELECT *, CASE WHEN seen = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS i0 FROM placed),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i0 IS NOT NULL AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv_id),
+inserts(a, b, k, lines) AS (VALUES
+  ('', '', 0, ''), ('', 'u', 1, chr(10) || 'user:'), ('', 'a', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  ('s', 's', 0, ''), ('s', 'u', 1, chr(10) || 'user:'), ('s', 'a', 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  ('u', 'u', 0, ''), ('u', 'a', 1, chr(10) || 'assistant:'), ('a', 'a', 0, ''), ('a', 'u', 1, chr(10) || 'user:')),
+edits(b, e, c, price) AS (VALUES ('', 'D', '', 4), ('s', 'D', 's', 4), ('u', 'D', 'u', 4), ('a', 'D', 'a', 4), ('', 'R', 'u', 3), ('s', 'R', 'u', 3),
+  ('a', 'R', 'u', 3), ('u', 'R', 'a', 3), ('', 'K', 's', 0), ('', 'K', 'u', 0), ('s', 'K', 'u', 0), ('u', 'K', 'a', 0), ('a', 'K', 'u', 0)),
+moves AS (SELECT a, e, c, lines, repeat('I', k) || e AS edits, 3 * k + price AS price FROM inserts JOIN edits USING (b)),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, '' AS c, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM conversations
+  UNION ALL
+  SELECT w.conv_id, w.n + 1, m.c, min({'cost': w.best.cost + m.price + CASE WHEN m.e <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END,
+      'audit': w.best.audit || m.edits,
+      'lines': w.best.lines || m.lines || CASE m.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+        ELSE chr(10) || CASE m.c WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text END})
+  FROM walk w JOIN marked r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.n = w.n + 1 JOIN moves m ON m.a = w.c
+  WHERE (m.e = 'D' OR r.fault NOT IN ('blank', 'duplicate')) AND (m.e <> 'K' OR m.c = r.i)
+  GROUP BY w.conv_id, w.n, m.c),
+ends AS (SELECT conv_id, max(n) AS n FROM walk GROUP BY conv_id),
+done AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + 3 * k, 'audit': w.best.audit || repeat('I', k), 'lines': w.best.lines || x.lines}) AS best
+  FROM walk w JOIN ends e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND w.n = e.n JOIN inserts x ON x.a = w.c AND x.b IN ('', 'a') GROUP BY w.conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.cost::BIGINT AS cost, best.audit AS audit, sha256(substr(best.lines, 2)) AS repaired_sha256
+FROM done d LEFT JOIN figures f ON d.conv_id IS NOT DISTINCT FROM f.conv_id
+"""

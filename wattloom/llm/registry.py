@@ -42,4 +42,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_license_scan": license_scan.oracle(), "op8_source_mixing": source_mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
+    return {
+        "op6_license_scan": license_scan.oracle(),
+        "op8_source_mixing": source_mixing.ORACLE,
+        "op10_line_dedup": line_dedup.ORACLE,
+        "op11_conversation_repair": conversations.ORACLE,
+    }
