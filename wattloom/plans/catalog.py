@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import model_queries, profile_queries, seasonal_queries, stored_queries, stream_queries, table_queries
+from . import maintained_queries, model_queries, profile_queries, seasonal_queries, stored_queries, stream_queries, table_queries
 
-MODULES = [profile_queries, table_queries, model_queries, stored_queries, seasonal_queries, stream_queries]
+MODULES = [profile_queries, table_queries, model_queries, stored_queries, seasonal_queries, stream_queries, maintained_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
