@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as x
+from . import blocks
 from . import rollup as r
 from . import series as s
 
@@ -109,13 +110,14 @@ def window_while_heating(
 
 
 def left_on_streak(
-    rollup: DataFrame, keys: list[str], as_of: Column, most_active: float = 0.5, rate_days: int = 30, tiers: tuple[int, int, int] = (3, 6, 9), buckets: str = "all"
-) -> DataFrame:
+    rollup: DataFrame, keys: list[str], as_of: Column, most_active: float = 0.5, rate_days: int = 30, tiers: tuple[int, int, int] = (3, 6, 9), buckets: str = "all",
+    spans: str | None = None,
+) -> DataFrame:
     """Appliances on for hours in a row that are usually off: ``keys, bucket, streak, active_rate, severity``.
 
     ``rollup`` has ``on_samples, total_samples``. The rate of a bucket is over the
     ``rate_days`` up to its end, so history sees nothing of its future; always-on loads (rate at or over
-    ``most_active``, or unknown) are skipped. A streak counts 24 hours at most.
+    ``most_active``, or unknown) are skipped. A streak counts 24 hours at most. ``spans``: cut long series into such blocks of time.
     """
     shut = r.closed(rollup, as_of)
     end = F.broadcast(shut.agg(F.max("bucket").alias("_end")))  # one row
@@ -124,7 +126,8 @@ def left_on_streak(
     on = F.col("on_samples") / F.when(F.col("total_samples") != 0, F.col("total_samples"))
     recent = Window.partitionBy(*keys).orderBy(F.unix_timestamp("bucket")).rangeBetween(1 - (rate_days * 86_400 - 3_600), 0)
     rows = shut.withColumn("active_rate", F.avg((on >= 0.5).cast("double")).over(recent))
-    rows = s.trailing_streak(rows, keys, x.hour_active(F.col("on_samples"), F.col("total_samples")))
+    active = x.hour_active(F.col("on_samples"), F.col("total_samples"))
+    rows = blocks.trailing_streak(rows, keys, active, spans=spans) if spans else s.trailing_streak(rows, keys, active)
     if buckets == "last":
         rows = rows.join(end, F.col("bucket") == F.col("_end")).drop("_end")
     rows = rows.withColumn("streak", F.least("streak", F.lit(24))).where(F.col("active_rate") < most_active)

@@ -10,8 +10,8 @@ from ..sources import store
 from ..streaming import clearing
 from .base import SCORED, as_of, hourly, plain
 
-#: Days at which the replay is cut; the stream stops after each part and starts again.
-CUTS = ["2024-01-14", "2024-01-19", "2024-01-25"]
+#: Where the replay is cut; the stream stops after each part and starts again.
+CUTS = ["2024-01-21"]
 _UC = "CASE WHEN event_type IN ('click', 'view') THEN 'level_visits' ELSE 'level_others' END"
 
 

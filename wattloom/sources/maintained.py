@@ -90,7 +90,7 @@ class Rollups:
         days = sorted(r[0] for r in hours.select(F.to_date("bucket")).distinct().collect())
         n_hours = hours.count()
         if days:
-            every = [b for b in versions.numbers(self.spark, f"{self.path}/readings", "batch") if b in self._taken(version)]
+            every = sorted(self._taken(version))
             again = self._made(self._readings(every, days).join(hours.withColumnRenamed("bucket", "_hour"), self._hour() == F.col("_hour"), "left_semi"))
             others = self.rollup(days=days).join(hours, "bucket", "left_anti")
             versions.write_days(others.unionByName(again), f"{self.path}/rollup", "bucket", version)

@@ -34,9 +34,13 @@ def finished(spark: SparkSession, path: str) -> bool:
 
 
 def write_once(table: DataFrame, path: str, by: str | None = None) -> bool:
-    """Write a folder unless it is finished already; what a dead writer left is replaced. Whether anything was written."""
+    """Write a folder unless it is finished already; what a dead writer left is replaced. Whether anything was written.
+
+    ``by``: a column of folders; a table without one is a short list (a plan, a batch's messages) and becomes one file.
+    """
     if finished(table.sparkSession, path):
         return False
+    table = table.hint("rebalance", F.col(by)) if by else table.coalesce(1)  # few files a day, large days in several tasks
     writer = table.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return True
