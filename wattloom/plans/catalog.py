@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_queries, maintained_queries, model_queries, profile_queries, seasonal_queries, stored_queries, stream_queries, table_queries
+from . import block_queries, document_queries, maintained_queries, model_queries, profile_queries, seasonal_queries, stored_queries, stream_queries, table_queries
 
-MODULES = [profile_queries, table_queries, model_queries, stored_queries, seasonal_queries, stream_queries, maintained_queries, block_queries]
+MODULES = [profile_queries, table_queries, model_queries, stored_queries, seasonal_queries, stream_queries, maintained_queries, block_queries, document_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
