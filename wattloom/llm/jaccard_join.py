@@ -30,14 +30,14 @@ Plan, all of it joins and grouped aggregates on Spark:
 Defined results: null and empty texts have no shingles and link with nothing;
 texts of one to four words are one shingle; equal texts are one class; very long texts are sets like
 others, a text at a time in a task; rows
-that repeat a doc_id get a row each (the shingle sets of such rows are expected
-to be equal; ``keep_one`` gives rows with other texts keys of their own); a null doc_id stands for itself only if no other row has its set;
-no rows give no rows. Columns other than the key and the text are ignored.
+that repeat a doc_id get a row each. A row without doc_id, and one whose doc_id has other texts too, is a
+document of its own that links by its text; its component is the smallest doc_id that it reaches, NULL if there is none but NULLs.
+No rows give no rows. Columns other than the key and the text are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +45,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as tx
-from .common import components, few, keep_ids, leave, scratch, ship, table, written
+from .common import components, drop, few, keep_ids, leave, scratch, ship, table, written
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 STEPS_A_DOUBLING = 12
+#: Up to so many larger sets of a shingle and size class meet its leaders one by one; from more on components meet first. Results are the same.
+MEET_DIRECTLY = 64
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -118,6 +120,18 @@ def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text, ...)``."""
+    with scratch(docs.sparkSession):
+        keyed = _keyed(docs)
+        if keyed is not None:
+            found = _components(keyed.select(F.col("_row").alias("doc_id"), "text"), percent).withColumnsRenamed({"doc_id": "_row", "component_id": "_group"})
+            rows = written(found.join(keyed.select("_row", "doc_id").distinct(), "_row"), "found")
+            least = rows.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
+            return leave(rows.join(least, "_group").select("doc_id", "n_shingles", "component_id"), "components")
+        return leave(_components(docs, percent), "components")
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` of rows whose doc_id is not NULL and has one text."""
     with scratch(docs.sparkSession):
         sketches, classes = _classes(docs, percent)
         segments, heads = _prefixes(docs, sketches, classes, percent)
@@ -196,10 +210,22 @@ def other_pairs(heads: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     only to the size classes, ``STEPS_A_DOUBLING`` to a doubling, of leaders that it bears. Many documents that share a
     template and cannot link, since too little is left at its shingles, then form no pair at all.
     """
-    place = lambda n: F.floor(F.log2(n) * STEPS_A_DOUBLING).cast("int")
     joined = heads.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component_id", F.coalesce("component_id", "doc"))
     most = F.floor(F.col("left") * (100 + percent) / percent - F.col("n")).cast("long")
     joined = written(joined.withColumn("most", most), "heads-of-components")
+    met = meetings(joined, percent)
+    met = met.where("component_id <> hc AND (n < hn OR n = hn AND doc < hub)").where(_possible(percent))
+    return met.select(F.col("doc").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hn").alias("nb")).distinct()
+
+
+def meetings(joined: DataFrame, percent: int) -> DataFrame:
+    """Leaders and larger sets that meet at a shingle and size class; of ``joined(doc, n, shingle, left, component_id, most)``.
+
+    At a shingle with many documents of a size class the components meet first, by their smallest set and the largest
+    part left, and only documents of two that differ and can link are brought together. So a group of near copies next to
+    one document of another component meets that one and not itself.
+    """
+    place = lambda n: F.floor(F.log2(n) * STEPS_A_DOUBLING).cast("int")
     mixed = joined.groupBy("shingle").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"))
     rest = joined.join(mixed.where("x <> y").select("shingle"), "shingle", "left_semi")
     leaders = rest.where("most >= n").withColumn("size", place("n"))
@@ -207,36 +233,55 @@ def other_pairs(heads: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     upto = F.least("n", "most")
     larger = rest.where(upto >= least).withColumn("size", F.explode(F.sequence(place(least), place(upto))))
     larger = larger.toDF(*[{"doc": "hub", "n": "hn", "left": "hleft", "component_id": "hc", "most": "hmost"}.get(c, c) for c in larger.columns])
-    met = leaders.join(larger, ["shingle", "size"])
-    met = met.where("component_id <> hc AND (n < hn OR n = hn AND doc < hub)").where(_possible(percent))
-    return met.select(F.col("doc").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"), F.col("hn").alias("nb")).distinct()
+    at = ["shingle", "size"]
+    many = written(larger.groupBy(*at).agg(F.count("*").alias("c")).where(F.col("c") > MEET_DIRECTLY).select(*at), "crowded")
+    if many.isEmpty():
+        return leaders.join(larger, at)
+    met = leaders.join(few(many), at, "left_anti").join(larger.join(few(many), at, "left_anti"), at)
+    leaders, larger = leaders.join(few(many), at, "left_semi"), larger.join(few(many), at, "left_semi")
+    of_leaders = leaders.groupBy(*at, "component_id").agg(F.min("n").alias("n"), F.max("left").alias("left"))
+    of_larger = larger.groupBy(*at, "hc").agg(F.min("hn").alias("hn"), F.max("hleft").alias("hleft"))
+    both = of_leaders.join(of_larger, at).where("component_id <> hc").where(_possible(percent)).select(*at, "component_id", "hc")
+    crowded = leaders.join(both, [*at, "component_id"]).join(larger, [*at, "hc"])
+    return met.unionByName(crowded.select(*met.columns))
+
+
+def _keyed(docs: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame | None:
+    """``docs`` with ``_row``, a key of their own for rows without doc_id or whose doc_id has several texts, behind the usual ids.
+
+    None if all rows have an id of one text. Rows equal in doc_id and text share a key. ``keep`` writes the ids of several texts, which the result reads.
+    """
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"))
+    odd = texts.groupBy("doc_id").agg((F.min("h") != F.max("h")).alias("several")).where("several OR doc_id IS NULL")
+    odd = written(odd.select("doc_id"), "odd")
+    if odd.isEmpty():
+        return None
+    several = keep(odd.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_of")), "several")
+    own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    keyed = docs.join(few(several), F.col("doc_id") == F.col("_of"), "left")
+    return keyed.withColumn("_row", F.when(F.col("doc_id").isNull() | F.col("_of").isNotNull(), own).otherwise(F.col("doc_id")))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of every component: the one with the smallest doc_id.
 
-    Rows that repeat a doc_id and its text are one document, of which one row stays. A row without doc_id, or
-    whose doc_id has several texts, gets a key of its own from doc_id and text, behind the usual ids.
+    Rows that repeat a doc_id and its text are one document, of which one row stays: the one that is first as JSON. A row without doc_id, or
+    whose doc_id has several texts, has a key of its own from doc_id and text, behind the usual ids.
     """
-    texts = docs.select("doc_id", F.xxhash64("text").alias("h"))
-    odd = texts.groupBy("doc_id").agg(F.count("*").alias("c"), (F.min("h") != F.max("h")).alias("several"))
-    odd = written(odd.where("c > 1 OR doc_id IS NULL"), "odd")
-    if odd.isEmpty():
-        found = near_duplicates(docs, percent)
-        gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-    several = written(odd.where("several AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_of")), "several")
-    own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
-    keyed = docs.join(few(several), F.col("doc_id") == F.col("_of"), "left")
-    keyed = keyed.withColumn("_row", F.when(F.col("doc_id").isNull() | F.col("_of").isNotNull(), own).otherwise(F.col("doc_id")))
-    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), percent)
-    found = written(found.select(F.col("doc_id").alias("_row"), "component_id"), "found")
-    kept = keyed.join(found.where("_row <> component_id").select("_row").distinct(), "_row", "left_anti")
-    again = written(found.groupBy("_row").count().where("count > 1").select("_row"), "again")
-    once = kept.join(few(again), "_row", "left_anti")
-    one = kept.join(few(again), "_row", "left_semi").dropDuplicates(["_row"])
-    return once.unionByName(one).select(*docs.columns)
+    with scratch(docs.sparkSession):
+        keyed = _keyed(docs, leave)
+        keyed = docs.withColumn("_row", F.col("doc_id")) if keyed is None else keyed
+        found = _components(keyed.select(F.col("_row").alias("doc_id"), "text"), percent)
+        gone = leave(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_row")).distinct(), "gone")
+        again = leave(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_row")), "again")
+    kept = keyed.join(gone, "_row", "left_anti")
+    if again.isEmpty():
+        drop(again)
+        return kept.select(*docs.columns)
+    once, twice = kept.join(few(again), "_row", "left_anti"), kept.join(few(again), "_row", "left_semi")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = twice.groupBy("_row").agg(F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias("_first"))
+    return once.select(*docs.columns).unionByName(one.select("_first.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,8 @@ rows, or one size shared by them, spreads over many tasks.
 
 Defined results: null text has size 0; documents of size 0 get their copies like
 others but take no words; a source without words has target 0 and no copies;
-rows that repeat a doc_id are drawn as separate rows; a null doc_id hashes as
-the empty string; a very long text is a row of a large size; no rows give no rows. Other columns
+rows that repeat a doc_id are drawn as separate rows, in the order of their texts' digests and then of their other columns; a row
+without doc_id has the place of its text's digest; so the mix doesn't depend on the order of rows. A very long text is a row of a large size; no rows give no rows. Other columns
 pass through untouched. Sources are few: their targets are worked out by windows over one row
 for each source.
 """
@@ -61,9 +61,16 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     )
 
 
-def draw(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    """``docs`` (with ``doc_id``, ``source`` and ``size``) plus ``source_size, target, copies``."""
-    keyed = docs.withColumn("_h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+def text_hash(text) -> F.Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def draw(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` (with ``doc_id``, ``source``, ``size`` and ``text_hash``) plus ``source_size, target, copies``.
+
+    Rows equal in source, size, doc_id and text are told apart by the columns ``ties``, if there are any.
+    """
+    keyed = docs.withColumn("_h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), "text_hash"))))
     keyed = keyed.withColumn("_b", F.substring("_h", 1, 3))
     counts = keyed.groupBy("source", "size", "_b").agg(F.count("*").alias("_n"))
     by_bucket = Window.partitionBy("source", "size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -81,7 +88,7 @@ def draw(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, se
     place = place.join(goal, place["source"].eqNullSafe(goal["source"])).drop(goal["source"])
     place = place.toDF(*["_source" if c == "source" else "_size" if c == "size" else "_bucket" if c == "_b" else c for c in place.columns])
     at = keyed["source"].eqNullSafe(place["_source"]) & (keyed["size"] == place["_size"]) & (keyed["_b"] == place["_bucket"])
-    in_bucket = Window.partitionBy("source", "size", "_b").orderBy("_h", "doc_id")
+    in_bucket = Window.partitionBy("source", "size", "_b").orderBy("_h", "doc_id", "text_hash", *ties)
     ranked = keyed.withColumn("_r", F.row_number().over(in_bucket)).join(place, at)
     rank = F.col("_before") + F.col("_r")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -95,21 +102,23 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` once per copy, with ``copy`` (underscores in front if taken) counting from 1."""
-    packed = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    drawn = draw(packed, weights, cap, seed).where("copies > 0")
+    packed = docs.select("doc_id", "source", word_count("text").alias("size"), text_hash(F.col("text")).alias("text_hash"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what has an order
+    ties = [f"_row.`{c}`" for c in sorted(plain, key=str.lower) if c.lower() not in ("doc_id", "source", "text")]
+    drawn = draw(packed, weights, cap, seed, tuple(ties)).where("copies > 0")
     name = free_names(["copy"], docs.columns)[0]
     return drawn.select("_row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(name))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"), text_hash(F.col("text")).alias("text_hash"))
     drawn = draw(written(docs, "sizes"))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(text, '')) AS t
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w, 3 * source_size AS most FROM s),
@@ -119,7 +128,7 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER b, 0))::DOUB
 t AS (SELECT source, source_size, least(most::DOUBLE, max(level) OVER () * w) AS target,
     (CAST('0x' || substr(md5('mix-1' || coalesce(source, '')), 1, 6) AS BIGINT) % 1024 + 0.5::DOUBLE) / 1024 AS u FROM l),
 r AS (SELECT d.doc_id, d.size, t.*, row_number() OVER (
-    PARTITION BY d.source ORDER BY d.size, md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id) AS r
+    PARTITION BY d.source ORDER BY d.size, md5(coalesce(d.doc_id::VARCHAR, 'text:' || d.t)), d.doc_id, d.t) AS r
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 f AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS f FROM r)
 SELECT doc_id, size, source_size, target,
