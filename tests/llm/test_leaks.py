@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination
+from wattloom.llm import decontamination, line_dedup
 from wattloom.llm.common import work_dir
 
 MATCH = "item_id long, text string"
@@ -77,3 +78,7 @@ def test_only_the_table_that_is_read_stays(spark, long_items):
     decontamination.contaminated(docs, items).collect()
     decontamination.clean(docs, items).collect()
     assert {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} <= {"leaks", "contaminated"}
+    before = set(os.listdir(folder))
+    lines = line_dedup.dedup_lines(docs.withColumn("text", F.lit("a\nb\nc\nd")))
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} == {"line-starts"}
+    assert lines.where("n_removed = 4").count() == docs.count() - 1

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_names, join_few, table, written
+from .common import free_names, join_few, leave, scratch, table, written
 
 WINDOW = 3
 MADE = ["n_lines", "n_removed", "emptied"]
@@ -61,9 +61,10 @@ def _without(line: F.Column, starts: F.Column, size: int) -> F.Column:
 
 def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` with shortened texts, plus the columns ``MADE`` (underscores in front where ``docs`` has the name)."""
-    found = written(windows(docs.select("doc_id", "text"), size), "line-windows")
-    starts = later_windows(found).groupBy("doc_id").agg(F.collect_set("pos").alias("_starts"))
-    starts = written(starts, "line-starts")
+    with scratch(docs.sparkSession):
+        found = written(windows(docs.select("doc_id", "text"), size), "line-windows")
+        starts = later_windows(found).groupBy("doc_id").agg(F.collect_set("pos").alias("_starts"))
+        starts = leave(starts, "line-starts")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
     joined = join_few(packed, starts, "doc_id", F.size("_starts")).select("doc_id", "text", "_rest", "_starts")
