@@ -32,13 +32,14 @@ def zscore_profile(
     return rows.withColumn("zscore", z).withColumn("severity", x.at_least(x.tier(F.abs("zscore"), 3.0, 4.0, 6.0), floor))
 
 
-def fan_out(rollups: dict[str, DataFrame], use_cases: DataFrame, as_of: Column, buckets: str = "all") -> DataFrame:
+def fan_out(rollups: dict[str, DataFrame], use_cases: DataFrame, as_of: Column, buckets: str = "all", days: int = 60) -> DataFrame:
     """Every metric of every source with its own knobs, in one plan.
 
     ``rollups``: source name to wide rollup. Wide columns become rows
     ``source, metric, label, bucket, value``, meet the broadcast use-case
     table (silenced ones dropped) and are scored by one window. ``scope``
-    predicates apply to the wide rows of their source.
+    predicates apply to the wide rows of their source. With ``buckets="last"`` only the
+    look-back of ``days`` before each source's last closed bucket is scored.
     """
     cells: dict[str, list[Column]] = {}
     rows = use_cases.where("NOT silenced").select("source", "metric", "keys", "scope").distinct().collect()  # configuration, not data
@@ -54,10 +55,13 @@ def fan_out(rollups: dict[str, DataFrame], use_cases: DataFrame, as_of: Column,
         for source, made in cells.items() if source in rollups
     ]
     long = reduce(DataFrame.unionByName, parts)
-    scored = r.profile_history(r.closed(long, as_of), ["source", "metric", "label"], "value")  # the entity goes with the label, and is NULL without keys
+    shut = r.closed(long, as_of)
     if buckets == "last":
-        ends = r.closed(long, as_of).groupBy("source").agg(F.max("bucket").alias("bucket"))
-        scored = scored.join(F.broadcast(ends), ["source", "bucket"])
+        ends = shut.groupBy("source").agg(F.max("bucket").alias("_end"))  # a row a source
+        shut = shut.join(F.broadcast(ends), "source").where(F.col("bucket") > F.col("_end") - F.make_interval(days=F.lit(days + 2)))
+    scored = r.profile_history(shut, ["source", "metric", "label"], "value", days)  # the entity goes with the label, and is NULL without keys
+    if buckets == "last":
+        scored = scored.where("bucket = _end").drop("_end")
     scored = scored.where(x.usable(F.col("value")) & x.usable(F.col("mean")) & x.usable(F.col("stddev")))
     scored = scored.join(F.broadcast(use_cases.where("NOT silenced").drop("keys", "scope")), ["source", "metric"])
     z = x.zscore(F.col("value"), F.col("mean"), F.col("stddev"), F.col("stddev_rel"), F.col("stddev_abs"), F.col("deadband_abs"), F.col("deadband_rel"))
