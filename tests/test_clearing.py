@@ -5,6 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from tests.compare import connect, same
+from wattloom.plans import stream_queries
 from wattloom.sources import store
 from wattloom.streaming import clearing
 
@@ -84,3 +86,36 @@ def test_disorder_within_the_watermark(spark, tmp_path):
     assert {(r.entity, r.time) for r in got.collect()} == {("y", at(2)), ("x", at(3))}
     marks = store.clear_markers(got.withColumnRenamed("time", "at"), F.col("at"))
     assert {(r.score, r.severity) for r in marks.collect()} == {(0.0, "warning")}
+
+
+def test_signs_of_time_let_the_last_runs_be_judged(spark, tmp_path):
+    """Nothing fires after the first hour: the runs are judged once both streams say how far they have come, and not before."""
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    fired = spark.createDataFrame([("a", "x", at(1), "s", "m", "d", "warning")], HIT)
+    ran = spark.createDataFrame([("a", at(h)) for h in (1, 2, 3)], "uc string, time timestamp")
+
+    def run():
+        clearing.start_clears(stream_of(spark, tmp_path, "0 seconds"), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+        return [(r.uc, r.entity, r.time) for r in spark.read.schema(HIT).parquet(f"{tmp_path}/out").collect()]
+
+    clearing.replay(spark, [fired], f"{tmp_path}/hits")
+    clearing.replay(spark, [ran], f"{tmp_path}/runs")
+    assert run() == []
+    clearing.replay(spark, [clearing.reached(ran, F.lit(at(4)))], f"{tmp_path}/runs")
+    assert run() == []
+    clearing.replay(spark, [clearing.reached(fired, F.lit(at(4)))], f"{tmp_path}/hits")
+    clearing.replay(spark, [clearing.reached(ran, F.lit(at(4)))], f"{tmp_path}/runs")
+    assert run() == [("a", "x", at(2))]
+
+
+def test_query_clears_at_the_very_last_run(spark, tmp_path):
+    """A channel that fires an hour before the end is cleared by the last run, as in the SQL."""
+    rows = [(dt.datetime(2024, 1, day, hour, 5), kind, 10.0 + day % 3) for day in (2, 9, 16, 23, 30) for hour in (21, 22, 23) for kind in ("view", "click")]
+    rows = [(t, kind, 99.0 if (t.day, t.hour, kind) == (30, 22, "view") else v) for t, kind, v in rows]
+    rows.append((dt.datetime(2024, 1, 31, 0, 5), "view", 10.0))  # after the end
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/made")
+    (file,) = (tmp_path / "made").glob("*.parquet")
+    file.rename(tmp_path / "events.parquet")
+    got = stream_queries.r3_streamed_clears(spark, str(tmp_path))
+    assert ("view", dt.datetime(2024, 1, 30, 23)) in [(r.entity, r.time) for r in got.collect()]
+    same(got, connect(str(tmp_path)), stream_queries.SQL["r3_streamed_clears"])

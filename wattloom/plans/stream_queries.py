@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import detectors as d
 from ..sources import store
 from ..streaming import clearing
-from .base import SCORED, as_of, hourly, plain
+from .base import AS_OF_TEXT, SCORED, as_of, hourly, plain
 
 #: Where the replay is cut; the stream stops after each part and starts again.
 CUTS = ["2024-01-21"]
@@ -38,9 +38,11 @@ def r3_streamed_clears(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(name: str, like: DataFrame) -> DataFrame:
         return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/{name}")
 
-    for mine, theirs in zip(_cut(hits), _cut(ran), strict=True):
-        clearing.replay(spark, [mine], f"{place}/hits")
-        clearing.replay(spark, [theirs], f"{place}/runs")
+    for mine, theirs, end in zip(_cut(hits), _cut(ran), [*CUTS, AS_OF_TEXT], strict=True):
+        # a part is whole when it is written: both streams have come to its end, just before the first time of the next one
+        last = F.lit(end).cast("timestamp") - F.expr("INTERVAL '0.001' SECOND")
+        clearing.replay(spark, [mine.unionByName(clearing.reached(hits, last))], f"{place}/hits")
+        clearing.replay(spark, [theirs.unionByName(clearing.reached(ran, last))], f"{place}/runs")
         stream = clearing.clears(read("hits", hits), read("runs", ran), late="0 seconds", buckets=4)
         clearing.start_clears(stream, f"{place}/out", f"{place}/state").awaitTermination()
     scored.unpersist()
