@@ -82,3 +82,14 @@ def test_only_the_table_that_is_read_stays(spark, long_items):
     lines = line_dedup.dedup_lines(docs.withColumn("text", F.lit("a\nb\nc\nd")))
     assert {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} == {"line-starts"}
     assert lines.where("n_removed = 4").count() == docs.count() - 1
+
+
+def test_passages_are_stored_before_they_are_scored(spark, long_items, monkeypatch):
+    """With one pass too: finding passages and scoring them in one stage took two Python workers a task."""
+    docs, items = long_items
+    plans = []
+    plain = decontamination._pass
+    monkeypatch.setattr(decontamination, "_pass", lambda found, *a: plans.append(found._jdf.queryExecution().executedPlan().toString()) or plain(found, *a))
+    got = decontamination.contaminated(docs, items.where("item_id = 5"))
+    assert [(r.doc_id, r.item_id) for r in got.collect()] == [(5, 5)]
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]

@@ -387,18 +387,16 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
         for r in classes:
             cuts = max(-(-r["items"] // (SHARD_ITEMS * SHARDS_A_PASS)), -(-r["n"] // (SHARD_WORDS * SHARDS_A_PASS)))
             shares += [(r.stride, bags.where(F.col("stride") == r.stride).where(F.pmod("h", F.lit(cuts)) == k)) for k in range(cuts)]
-        if len(shares) > 1:
-            found = written(found, "passages")
+        # written before it is scored: a task then holds one Python worker, not two in a chain, which would stay in memory for later stages
+        found = written(found, "passages")
         passes = []
         for width, share in shares:
             rows = [tuple(r) for r in share.select("item_id", "text", "n").orderBy("item_id", "text").collect()]
             known = common.join(share.select(F.explode("terms").alias("term")), "term", "left_semi")
             spread = spark.sparkContext.broadcast(_shards(rows, (n, mean or 1.0, {r.term: r.df for r in known.collect()})))
-            matches = _pass(found.where(F.col("stride") == width), spread, threshold)
-            if len(shares) > 1:  # this pass is done before the next one's items are collected
-                matches = leave(matches, "leaks")
-                spread.destroy()
-            passes.append(matches)
+            # this pass is done before the next one's items are collected
+            passes.append(leave(_pass(found.where(F.col("stride") == width), spread, threshold), "leaks"))
+            spread.destroy()
     return reduce(DataFrame.unionByName, passes)
 
 
